@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash, warc
+from . import byte_bpe, exact_dedup, simhash, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op10_byte_bpe": byte_bpe.op10_byte_bpe,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
 }
 SQL = {"op2_warc": warc.SQL, "op6_exact_dedup": exact_dedup.SQL}
