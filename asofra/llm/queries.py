@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup, simhash, warc
+from . import byte_bpe, decontaminate, exact_dedup, simhash, warc
 
 QUERIES = {
     "op2_warc": warc.op2_warc,
+    "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
