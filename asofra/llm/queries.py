@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, exact_dedup, language_id, quality, simhash, warc
+from . import byte_bpe, decontaminate, exact_dedup, language_id, quality, simhash, toxicity, warc
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_warc": warc.op2_warc,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
