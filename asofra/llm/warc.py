@@ -86,9 +86,12 @@ def write_archive(pages: DataFrame, path: str, smallest: int = 0) -> str:
     )
     if not groups.where("_clash OR _clash2").isEmpty():
         raise ValueError("two different payloads have one SHA-256")
-    first = groups.select("digest", F.col("_first").alias("page_id"))
-    same = [digested["digest"] == first["digest"], digested["page_id"].eqNullSafe(first["page_id"])]
-    kept = digested.join(first, same, "left_semi").dropDuplicates(["digest"])
+    # one exchange moves the payloads: the semi join and the rows repeated
+    # under one page_id share its keys
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit("none")).alias("_page")
+    first = groups.select("digest", F.col("_first").alias("page_id")).select("digest", page)
+    keys = ["digest", "_page"]
+    kept = digested.select("digest", page, "payload").join(first, keys, "left_semi").dropDuplicates(keys)
     kept.select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
     is_response = F.col("page_id").eqNullSafe(F.col("_first")) | (F.col("_bytes") < smallest)
     join_groups(signed, groups, ["digest"], "_n").select("page_id", "digest", _header(is_response).alias("header")).write.option(
