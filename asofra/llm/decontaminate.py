@@ -14,6 +14,7 @@ BLOCK_WINDOWS windows, which a task loads one after the other.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,9 @@ WORD_BYTES = bytes(
 )
 
 
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(WORD_BYTES).split()
 
@@ -161,55 +165,97 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     words. Rows repeated under one doc_id give a row each; a null doc_id
     stays null. An empty benchmark hits nothing. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    arrow_batches(spark)
-    shared = [spark.sparkContext.broadcast(block) for block in blocks(benchmark, window)]
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    item = lambda k: str(k)
-
-    def scan(ids: list, texts: list[list[bytes]]) -> pa.RecordBatch:
-        doc, first, end = (np.zeros(0, np.int64) for _ in range(3))
-        items: list[set[str]] = [set() for _ in texts]
-        for part in shared:
-            block = part.value
-            d, f, e, owner = shard_hits(texts, block)
-            for a, b in np.unique(np.stack((d, owner), 1), axis=0).tolist():
-                items[a].add(item(block.items[b]))
-            doc, first, end = merged(*(np.concatenate(x) for x in ((doc, d), (first, f), (end, e))))
-        hit = np.bincount(doc, end - first, len(texts)).astype(np.int64)
-        ends = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)))))
-        pairs = pa.StructArray.from_arrays([pa.array(first), pa.array(end)], ["first", "end"])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(ids, id_type),
-                pa.array([len(x) for x in texts], pa.int64()),
-                pa.array(hit),
-                pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs),
-            ],
-            ["doc_id", "n_words", "n_hit", "items", "spans"],
-        )
+    arrow_batches(docs.sparkSession)
+    shared = _broadcast(benchmark, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, size = [], [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                ids.append(doc_id)
-                texts.append(words_of(text.as_py()))
-                size += len(texts[-1])
-                if size >= SHARD_WORDS:
-                    yield scan(ids, texts)
-                    ids, texts, size = [], [], 0
-        if ids:
-            yield scan(ids, texts)
-
-    id_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+        for held, texts in _shards(batches):
+            first, end, doc, items = _scan(texts, shared)
+            ends = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)))))
+            pairs = pa.StructArray.from_arrays([pa.array(first), pa.array(end)], ["first", "end"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.chunked_array([x["doc_id"] for x in held]).combine_chunks(),
+                    pa.array([len(x) for x in texts], pa.int64()),
+                    pa.array(np.bincount(doc, end - first, len(texts)).astype(np.int64)),
+                    pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pairs),
+                ],
+                ["doc_id", "n_words", "n_hit", "items", "spans"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
         run,
         f"doc_id {kind}, n_words long, n_hit long, items array<string>, spans array<struct<first: long, end: long>>",
     )
 
 
+def _broadcast(benchmark: DataFrame, window: int) -> list:
+    return [benchmark.sparkSession.sparkContext.broadcast(block) for block in blocks(benchmark, window)]
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], list[list[bytes]]]]:
+    """Slices of batches with their rows' words, SHARD_WORDS or more of them."""
+    held, texts, size = [], [], 0
+    for batch in batches:
+        begin = 0
+        for k, text in enumerate(batch["text"]):
+            raw = text.as_py()
+            texts.append(words_of(raw.encode() if isinstance(raw, str) else raw))
+            size += len(texts[-1])
+            if size >= SHARD_WORDS:
+                yield [*held, batch.slice(begin, k + 1 - begin)], texts
+                held, texts, size, begin = [], [], 0, k + 1
+        if begin < batch.num_rows:
+            held.append(batch.slice(begin))
+    if held:
+        yield held, texts
+
+
+def _scan(texts: list[list[bytes]], shared: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[set[str]]]:
+    """Merged spans (first, end, doc) of a shard, and the items of each row;
+    the blocks of the benchmark are loaded one after the other."""
+    doc, first, end = (np.zeros(0, np.int64) for _ in range(3))
+    items: list[set[str]] = [set() for _ in texts]
+    for part in shared:
+        block = part.value
+        d, f, e, owner = shard_hits(texts, block)
+        for a, b in np.unique(np.stack((d, owner), 1), axis=0).tolist():
+            items[a].add(str(block.items[b]))
+        doc, first, end = merged(*(np.concatenate(x) for x in ((doc, d), (first, f), (end, e))))
+    return first, end, doc, items
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs, with
+    all their columns. Rows and windows as in ``contamination``."""
+    arrow_batches(docs.sparkSession)
+    shared = _broadcast(benchmark, window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held, texts in _shards(batches):
+            _, _, doc, _ = _scan(texts, shared)
+            clean = np.bincount(doc, minlength=len(texts)) == 0
+            at = 0
+            for batch in held:
+                yield batch.filter(pa.array(clean[at : at + batch.num_rows]))
+                at += batch.num_rows
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` without the words of ``spans`` (as ``contamination`` returns
+    them) and what stands between them."""
+    places = [(m.start(), m.end()) for m in WORD.finditer(text)]
+    out, at = [], 0
+    for first, end in spans:
+        out.append(text[at : places[first][0]])
+        at = places[end - 1][1]
+    return "".join([*out, text[at:]])
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
