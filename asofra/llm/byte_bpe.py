@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, table
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+#: Positions put together at a time.
+CHUNK = 1 << 18
 #: Word buckets per shuffle partition.
 SPREAD = 4
 
@@ -43,9 +45,11 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
 
 
 def _pack(*arrays: np.ndarray, blob: bytes = b"") -> bytes:
+    """Compressed integers below 2^31, and bytes. Equal bytes of the numbers
+    stand together, which compresses better."""
     sizes = np.array([len(arrays), *map(len, arrays)], np.int32)
-    whole = b"".join([sizes.tobytes(), *(a.astype(np.int32).tobytes() for a in arrays), blob])
-    return zstandard.compress(whole, 3)
+    planes = (np.ascontiguousarray(a.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes() for a in arrays)
+    return zstandard.compress(b"".join([sizes.tobytes(), *planes, blob]), 3)
 
 
 def _unpack(packed: bytes) -> tuple[list[np.ndarray], bytes]:
@@ -53,7 +57,8 @@ def _unpack(packed: bytes) -> tuple[list[np.ndarray], bytes]:
     count = int(np.frombuffer(whole, np.int32, 1)[0])
     at, arrays = 4 * (count + 1), []
     for size in np.frombuffer(whole, np.int32, count, 4).tolist():
-        arrays.append(np.frombuffer(whole, np.int32, size, at))
+        planes = np.frombuffer(whole, np.uint8, 4 * size, at).reshape(4, size)
+        arrays.append(np.ascontiguousarray(planes.T).view("<i4").reshape(-1))
         at += 4 * size
     return arrays, whole[at:]
 
@@ -98,8 +103,9 @@ def _ragged(flat: np.ndarray, counts: np.ndarray, rows: np.ndarray) -> tuple[np.
     return flat[where], picked
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """(doc_id, ids array<int>) per row of ``docs`` (doc_id, text).
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) per row of ``docs`` (doc_id, text); with
+    ``decoded`` also the bytes that the ids decode to, by the same worker.
 
     Each match of ``pattern`` is merged by ``ranks`` separately, without
     special tokens. A null or empty text has no ids. Rows repeated under one
@@ -176,10 +182,15 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
             raise RuntimeError("a block's positions have no words: the input is not deterministic")
         row = np.empty(places.size, np.int64)
         row[places] = np.arange(places.size)
-        ids, picked = _ragged(flat, counts, row[numbers])
-        ends = np.concatenate(([0], np.cumsum(picked)))[np.concatenate(([0], np.cumsum(sizes)))]
-        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
-        return pa.table({"doc_id": left["doc_ids"].combine_chunks().flatten(), "ids": lists})
+        cuts = [numbers[k : k + CHUNK] for k in range(0, numbers.size, CHUNK)]
+        ids = np.concatenate([flat[:0], *(_ragged(flat, counts, row[cut])[0] for cut in cuts)])
+        before = np.zeros(numbers.size + 1, np.int32)
+        for k, cut in enumerate(cuts):
+            before[1 + k * CHUNK : 1 + k * CHUNK + cut.size] = counts[row[cut]]
+        ends = np.cumsum(before, dtype=np.int32)[np.concatenate(([0], np.cumsum(sizes)))]
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+        out = {"doc_id": left["doc_ids"].combine_chunks().flatten(), "ids": lists}
+        return pa.table(out | ({"decoded": TokenBytes(shared.value[0]).decode(lists)} if decoded else {}))
 
     batches_kind = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     base = docs.select("doc_id", "text")
@@ -189,10 +200,34 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     return (
         placed.groupBy("block")
         .cogroup(sent_back.groupBy("block"))
-        .applyInArrow(together, f"doc_id {kind}, ids array<int>")
+        .applyInArrow(together, f"doc_id {kind}, ids array<int>" + ", decoded binary" * decoded)
     )
 
 
+class TokenBytes:
+    """The token-byte table: the bytes of all ids, and how many each has."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.counts = np.array([len(t) for t in tokens], np.int64)
+
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """Join the ids of each list with the table; an id that it lacks
+        raises."""
+        if lists.null_count:
+            lists = lists.fill_null([])
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        if ids.size and (ids.min() < 0 or ids.max() >= self.counts.size or not self.counts[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+        raw = b"".join(_ragged(self.flat, self.counts, ids[k : k + CHUNK])[0].tobytes() for k in range(0, ids.size, CHUNK))
+        places = np.concatenate(([0], np.cumsum(self.counts[ids])))[ends].tolist()
+        return pa.array([raw[a:b] for a, b in zip(places, places[1:])], pa.binary())
+
+
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Add ``decoded`` (binary) to rows with ``ids``: the bytes of the ids.
 
@@ -200,27 +235,13 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     and joined on the executors. Null ids decode to no bytes; an id outside
     the vocabulary raises. All other columns but ``decoded`` are kept.
     """
-    spark = encoded.sparkSession
-    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    sizes = np.array([len(t) for t in tokens], np.int64)
-    shared = spark.sparkContext.broadcast((np.frombuffer(b"".join(tokens), np.uint8), sizes))
+    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, counts = shared.value
+        tokens = TokenBytes(shared.value)
         for batch in batches:
-            lists = batch["ids"].fill_null([]) if batch["ids"].null_count else batch["ids"]
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            if ids.size and (ids.min() < 0 or ids.max() >= counts.size or not counts[ids].all()):
-                raise ValueError("an id is not in the vocabulary")
-            ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
-            raw, picked = _ragged(flat, counts, ids)
-            ends = np.concatenate(([0], np.cumsum(picked)))[ends].tolist()
-            raw = raw.tobytes()
-            out = pa.array([raw[a:b] for a, b in zip(ends, ends[1:])], pa.binary())
             names = [n for n in batch.schema.names if n != "decoded"]
-            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), out], [*names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), tokens.decode(batch["ids"])], [*names, "decoded"])
 
     kept = encoded.drop("decoded")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
@@ -231,7 +252,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    done = decode(encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    done = encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

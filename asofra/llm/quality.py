@@ -176,10 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     )
     order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
     bucket, weight = found["bucket"], found["weight"]
-    rows = [
-        (bucket[k].values.to_numpy().astype(np.int64), weight[k].values.to_numpy().astype(np.float64))
-        for k in order.tolist()
-    ]
+    rows = [(bucket[k].values.to_numpy(), weight[k].values.to_numpy()) for k in order.tolist()]
     return train(rows, found["label"].to_numpy()[order].astype(np.int64))
 
 

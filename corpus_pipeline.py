@@ -43,8 +43,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = byte_bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return decoded.select(
+    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id",
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),
