@@ -82,7 +82,7 @@ def view_intervals(facts: DataFrame) -> DataFrame:
     return running.select(
         *key, F.col("filed").alias("known_from"), F.lead("filed").over(by_day).alias("known_to"),
         *(F.col(f"best.{c}").alias(c) for c in ("value", "tag", "form", "fiscal_year", "period_start")),
-        F.col("best.c").alias("accession"),
+        F.col("best.c").alias("accession"), F.col("best.won_filed").alias("filed"),
     )
 
 
