@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,3 +22,16 @@ def sample(labels: DataFrame, label: str, most: int) -> DataFrame:
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     agreed = known.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("_max")).where("label = _max")
     return agreed.select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+
+def pieces(text: bytes, most: int) -> Iterator[bytes]:
+    """``text`` in pieces of at most ``most`` bytes, cut at white space where
+    there is some. Together they are the whole text; where it is cut depends
+    on the text alone. An empty text is one empty piece."""
+    at = 0
+    while len(text) - at > most:
+        end = text.rfind(b" ", at + 1, at + most)
+        end = end if end > 0 else at + most
+        yield text[at:end]
+        at = end
+    yield text[at:]

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, table
-from .labelled import remainder, sample
+from .labelled import pieces, remainder, sample
 
 BUCKETS_LOG2 = 16
 BUCKETS = 1 << BUCKETS_LOG2
@@ -33,8 +33,8 @@ RATE = 0.5
 #: Most labelled rows that the classifier is fitted on.
 TRAIN_ROWS = 4000
 THRESHOLD = 0.7
-#: Bytes hashed at a time; a longer text is hashed alone.
-CHUNK = 1 << 20
+#: Bytes hashed at a time; a longer text is hashed in pieces.
+CHUNK = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
 GAP = b" " * max(GRAMS)
 SPACES = bytes(32 if b in b"\t\n\v\f\r" else b for b in range(256))
@@ -85,27 +85,29 @@ def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [word_part, (np.concatenate(whose), np.concatenate(what))]
 
 
-def _groups(texts: list[bytes]) -> Iterator[list[bytes]]:
-    held, size = [], 0
-    for text in texts:
-        if held and size + len(text) > CHUNK:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
+def _groups(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Pieces of texts, CHUNK bytes together, and the text of each piece."""
+    whose, held, size = [], [], 0
+    for k, text in enumerate(texts):
+        for piece in pieces(text, CHUNK):
+            if held and size + len(piece) > CHUNK:
+                yield np.array(whose), held
+                whose, held, size = [], [], 0
+            whose.append(k)
+            held.append(piece)
+            size += len(piece)
     if held:
-        yield held
+        yield np.array(whose), held
 
 
 def scores(texts: list[bytes], model: Model) -> np.ndarray:
-    out = []
-    for group in _groups(texts):
-        total = np.full(len(group), model.bias)
-        for owner, bucket in features(group):
-            count = np.bincount(owner, minlength=len(group))
-            total += np.bincount(owner, model.weights[bucket], len(group)) / np.maximum(count, 1)
-        out.append(total)
-    return 1 / (1 + np.exp(-np.clip(np.concatenate(out), -500, 500))) if out else np.zeros(0)
+    total, count = np.zeros((2, len(texts))), np.zeros((2, len(texts)))
+    for whose, group in _groups(texts):
+        for kind, (owner, bucket) in enumerate(features(group)):
+            np.add.at(total[kind], whose, np.bincount(owner, model.weights[bucket], len(group)))
+            np.add.at(count[kind], whose, np.bincount(owner, minlength=len(group)))
+    logit = model.bias + (total / np.maximum(count, 1)).sum(axis=0)
+    return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 0) -> Model:
@@ -137,13 +139,13 @@ STEP_UP = 20.0
 
 
 def _row(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    buckets, weights = [], []
-    for _, bucket in features([text]):
-        kind, count = np.unique(bucket, return_counts=True)
-        buckets.append(kind)
-        weights.append(count / max(1, count.sum()))
-    bucket, place = np.unique(np.concatenate(buckets), return_inverse=True)
-    return bucket, np.bincount(place, np.concatenate(weights), bucket.size)
+    counts = np.zeros((2, BUCKETS))
+    for _, group in _groups([text]):
+        for kind, (_, bucket) in enumerate(features(group)):
+            counts[kind] += np.bincount(bucket, minlength=BUCKETS)
+    weight = (counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).sum(axis=0)
+    bucket = np.flatnonzero(weight)
+    return bucket, weight[bucket]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS) -> Model:

@@ -37,6 +37,8 @@ COPY_WORDS, COPY_RADIUS, COPY_WHOLE = 5, 11, 26
 MOST_RADIUS = 14
 #: Buckets up to this size are compared all at once, shifted against themselves.
 SMALL_BUCKET = 8
+#: Hashes whose bits are counted at a time.
+CHUNK = 1 << 16
 LANE_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,9 +53,11 @@ def segments(radius: int) -> list[tuple[int, int]]:
 
 
 def _majority(hashes: np.ndarray) -> int:
-    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
-    return int(np.packbits(over).view(">u8")[0])
+    set_ = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), CHUNK):
+        bits = np.unpackbits(hashes[k : k + CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        set_ += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_ > len(hashes)).view(">u8")[0])
 
 
 def fingerprint(text: bytes | None, words: int = WORDS, lanes: int = 1) -> list[int]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, table
-from .labelled import remainder, sample
+from .labelled import pieces, remainder, sample
 
 WINDOW = 8
 LEVEL = 3
@@ -42,8 +42,8 @@ SHARE, LEAST, LIFT = 0.015, 4, 10.0
 #: A window whose gain is so many bytes is a hit.
 HIT = 3
 THRESHOLD = 0.3
-#: Bytes encoded at a time; a longer text is encoded alone.
-CHUNK = 1 << 20
+#: Bytes encoded at a time; a longer text is encoded in pieces.
+CHUNK = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
 GAP = b" "
 SPACES = bytes(32 if b in b"\t\n\v\f\r" else b for b in range(256))
@@ -84,24 +84,31 @@ def encode_words(words: list[bytes]) -> bytes:
 
 
 def windows(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """(text number, windows) of each text: WINDOW words each, the last one
-    the rest. Texts of a group are encoded at once."""
-    held, size, number = [], 0, 0
-    for k, text in enumerate([*texts, None]):
-        if held and (text is None or size + len(text) > CHUNK):
-            flat = np.frombuffer(b"".join(t.lower().translate(SPACES) + GAP for t in held), np.uint8)
-            coded, begin = _checksums(flat)
-            coded = b" " + coded.tobytes()
-            start = np.cumsum([0, *(len(t) + len(GAP) for t in held)])
-            first = np.searchsorted(begin, start)
-            for j in range(len(held)):
-                cuts = begin[first[j] : first[j + 1] : WINDOW].tolist()
-                ends = [*cuts[1:], int(start[j + 1])]
-                yield number + j, [coded[a : b + 1] for a, b in zip(cuts, ends)]
-            number, held, size = k, [], 0
-        if text is not None:
-            held.append(text)
-            size += len(text)
+    """(text number, windows) of each piece of a text: WINDOW words each, the
+    last one the rest. Pieces are encoded CHUNK bytes at a time."""
+    whose, held, size = [], [], 0
+
+    def coded() -> Iterator[tuple[int, list[bytes]]]:
+        flat = np.frombuffer(b"".join(t.lower().translate(SPACES) + GAP for t in held), np.uint8)
+        sums, begin = _checksums(flat)
+        whole = b" " + sums.tobytes()
+        start = np.cumsum([0, *(len(t) + len(GAP) for t in held)])
+        first = np.searchsorted(begin, start)
+        for j, k in enumerate(whose):
+            cuts = begin[first[j] : first[j + 1] : WINDOW].tolist()
+            ends = [*cuts[1:], int(start[j + 1])]
+            yield k, [whole[a : b + 1] for a, b in zip(cuts, ends)]
+
+    for k, text in enumerate(texts):
+        for piece in pieces(text, CHUNK):
+            if held and size + len(piece) > CHUNK:
+                yield from coded()
+                whose, held, size = [], [], 0
+            whose.append(k)
+            held.append(piece)
+            size += len(piece)
+    if held:
+        yield from coded()
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -116,21 +123,24 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
 def gains(texts: list[bytes], ordinary: bytes, toxic: bytes) -> np.ndarray:
     """Per text: largest gain, mean of the three largest, mean, share of
     hits, and log of the number of windows."""
-    out = np.zeros((len(texts), 5))
+    out, top = np.zeros((len(texts), 5)), [np.zeros(0, np.int64)] * len(texts)
+    total, hits, count = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
     plain, other = compressor(ordinary).compress, compressor(toxic).compress
     for k, cut in windows(texts):
-        if not cut:
-            continue
         gain = np.fromiter((len(plain(w)) - len(other(w)) for w in cut), np.int64, len(cut))
-        top = np.partition(gain, -3)[-3:] if gain.size > 3 else gain
-        out[k] = top.max(), top.mean(), gain.mean(), (gain >= HIT).mean(), np.log(gain.size)
+        top[k] = np.sort(np.concatenate((top[k], gain)))[-3:]
+        total[k] += gain.sum()
+        hits[k] += (gain >= HIT).sum()
+        count[k] += gain.size
+    for k in np.flatnonzero(count):
+        out[k] = top[k][-1], top[k].mean(), total[k] / count[k], hits[k] / count[k], np.log(count[k])
     return out
 
 
 def train_dictionaries(texts: list[bytes], toxic: np.ndarray) -> tuple[bytes, bytes]:
     """The ordinary dictionary, and the toxic one, which ends with the text
     that sets toxic rows apart, the most telling nearest to the end."""
-    plain = [w for (_, cut), t in zip(windows(texts), toxic) if not t for w in cut]
+    plain = [w for k, cut in windows(texts) if not toxic[k] for w in cut]
     try:
         ordinary = zstandard.train_dictionary(ORDINARY_BYTES, plain).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
