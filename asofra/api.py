@@ -75,7 +75,7 @@ def run_incremental_update(spark: SparkSession, root: str) -> int:
     """Append the days after each ticker's last one; returns their number."""
     old = layer(spark, root, "daily").groupBy("ticker").agg(F.max("date").alias("last"))
     fresh = _daily(spark, root, layer(spark, root, "fund")).join(old, "ticker", "left").where("last IS NULL OR date > last").drop("last")
-    return files.append_rows(spark, fresh, f"{root}/daily", ["ticker", "date"])
+    return files.append_rows(spark, fresh, f"{root}/daily", ["ticker", "date"], "year")
 
 
 def main(args: list[str]) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import SHARES_TAGS
 from ..functions.kernel import growth, guarded
+from ..functions.storage import written
 from . import asof, periods, splits, vintages
 from .indicators import CONCEPTS, derived, formulas, masked, statutory_rate
 
@@ -96,8 +97,8 @@ def share_counts(view: DataFrame, wide: DataFrame, split_table: DataFrame, keys:
 
 def quarter_features(view: DataFrame, split_table: DataFrame, keys: list[str], wide: DataFrame) -> DataFrame:
     """(keys, q_...): the indicators that need standalone quarters."""
-    net, rev = periods.flow_quarters(view, "net_income", keys), periods.flow_quarters(view, "revenue", keys)
-    tax, at = periods.flow_quarters(view, "income_tax_expense", keys), periods.instants(view, "total_assets", keys)
+    net, rev = (written(periods.flow_quarters(view, c, keys), c) for c in ("net_income", "revenue"))
+    tax, at = periods.flow_quarters(view, "income_tax_expense", keys), written(periods.instants(view, "total_assets", keys), "assets")
     joined = view.where("concept = 'eps_diluted'").join(splits.split_table(split_table), "ticker", "left")
     adjusted = joined.withColumn("value", F.col("value") * splits.factor_after(F.col("splits"), F.col("filed"))).drop("splits")
     eps = periods.flow_quarters(adjusted, "eps_diluted", keys)
@@ -223,11 +224,12 @@ def assemble(facts: DataFrame, prices: DataFrame, split_table: DataFrame, compan
     """
     keys = ["ticker", "as_of"]
     known = facts.join(F.broadcast(dates), F.col("filed") <= F.col("as_of"))
-    view = vintages.as_of_view(known, F.col("as_of"), keys)
+    view = written(vintages.as_of_view(known, F.col("as_of"), keys), "view")
     year = vintages.latest_annual(view, keys)
-    wide = share_counts(view, wide_rows(view, year.select(*keys, "fiscal_year", "filed"), keys), split_table, keys)
+    wide = share_counts(view, written(wide_rows(view, year.select(*keys, "fiscal_year", "filed"), keys), "wide"), split_table, keys)
+    wide = written(wide.drop("splits"), "counted")
     priced = asof.as_of_fresh(wide.select(*keys, "filed"), prices, "ticker", "filed", "date", "close")
     factor = splits.with_factor(priced, split_table, "price_date")
     price = factor.select(*keys, (F.col("close") / F.col("factor")).alias("price"))
-    whole = wide.drop("splits").join(price, keys, "left").join(quarter_features(view, split_table, keys, wide), keys, "left")
+    whole = wide.join(price, keys, "left").join(quarter_features(view, split_table, keys, wide), keys, "left")
     return indicator_rows(whole.join(companies, "ticker"), [*keys, "sector", "industry", "fiscal_year"])

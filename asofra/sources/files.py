@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import written
+
 ROSTER = "row int, ticker string, name string, cik string, occurrence int, date_added date, date_removed date, name_when_added string, name_when_removed string"
 SECTORS = "ticker string, sector string, industry string, note string"
 
@@ -42,23 +44,23 @@ def write_partitions(rows: DataFrame, path: str, *by: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def append_rows(spark: SparkSession, rows: DataFrame, path: str, keys: list[str]) -> int:
-    """Append what the layer does not have by key; its columns must be the
-    same. Running twice adds nothing. Returns the number of rows added."""
+def append_rows(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], *by: str) -> int:
+    """Append what the layer, partitioned ``by``, does not have by key; its
+    columns must be the same. Running twice adds nothing. Returns the number
+    of rows added."""
     try:
         old = spark.read.parquet(path)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        rows.write.parquet(path)
-        return rows.count()
+        rows.write.partitionBy(*by).parquet(path)
+        return spark.read.parquet(path).count()
     if sorted(old.columns) != sorted(rows.columns):
         raise ValueError(f"columns differ: {sorted(set(old.columns) ^ set(rows.columns))}")
-    fresh = rows.join(old.select(*keys), keys, "left_anti").select(*old.columns).persist()
+    fresh = written(rows.join(old.select(*keys), keys, "left_anti").select(*old.columns), "fresh")
     count = fresh.count()
     if count:
-        fresh.write.mode("append").parquet(path)
-    fresh.unpersist()
+        fresh.write.mode("append").partitionBy(*by).parquet(path)
     return count
 
 
