@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import dropped, new_path, written
+
+__all__ = ["arrow_batches", "ascii_lower", "dropped", "join_groups", "new_path", "table", "written"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: A key counts as hot from this share of all rows on, so there are at most
@@ -22,46 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is ``spark.checkpoint.dir``. Only where that is unset, as in tests on
-    one machine, a temporary folder takes its place.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="asofra-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        atexit.register(shutil.rmtree, found.removeprefix("file://"), True)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/asofra/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back.
-
-    A lost executor costs a re-read of these files, never the work before.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files of a ``written`` table that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for parent in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(conf).delete(path, True)
-
-
 def arrow_batches(spark: SparkSession, rows: int = 1000, megabytes: int = 16) -> None:
     """Bound the batches that go to Python by rows and by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
