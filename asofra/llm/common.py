@@ -45,8 +45,10 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], count: str,
     total = groups.agg(F.sum(count)).first()[0] or 0
     least = max(1000, int(total * HOT_SHARE))
     hot = groups.where(F.col(count) >= least).select(*keys, F.lit(True).alias("_hot"))
+    # by the row and its partition: a task that runs again deals alike
+    spread = F.xxhash64(*rows.columns) + F.spark_partition_id() * 7919
     salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.floor(F.rand(7) * SALTS).cast("int")).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     )
     copies = F.when(F.col(count) >= least, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     return salted.drop("_hot").join(groups.withColumn("_salt", F.explode(copies)), [*keys, "_salt"], how).drop("_salt")

@@ -264,3 +264,39 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+#: Every word sequence of a document as long as some window, joined with the
+#: windows; hit words are counted once.
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS w
+  FROM documents
+),
+b AS (
+  SELECT item_id, w, least(10, len(w)) AS size FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL)
+  WHERE len(w) > 0
+),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[k:k + size - 1], ' ') AS win
+  FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM b)
+),
+grams AS (
+  SELECT r, size, k, array_to_string(w[k:k + size - 1], ' ') AS win
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM d, (SELECT DISTINCT size FROM windows))
+),
+hits AS (SELECT g.r, g.k, g.size, v.item_id FROM grams g JOIN windows v ON v.size = g.size AND v.win = g.win),
+places AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + size)) AS p FROM hits) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places ON places.r = d.r LEFT JOIN items ON items.r = d.r
+"""

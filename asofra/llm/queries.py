@@ -16,4 +16,4 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
 }
-SQL = {"op2_warc": warc.SQL, "op6_exact_dedup": exact_dedup.SQL}
+SQL = {"op2_warc": warc.SQL, "op5_benchmark_decontamination": decontaminate.SQL, "op6_exact_dedup": exact_dedup.SQL}
