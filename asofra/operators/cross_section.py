@@ -31,7 +31,7 @@ def demeaned(rows: DataFrame, value: str, groups: list[str]) -> DataFrame:
     """Less the group's mean; null in an unknown group. The means are one
     small row per group, joined back."""
     means = rows.where(known_group(groups[-1])).groupBy(*groups).agg(F.avg(value).alias("_mean"))
-    return rows.join(F.broadcast(means), groups, "left").withColumn(value, F.col(value) - F.col("_mean")).drop("_mean")
+    return rows.join(means, groups, "left").withColumn(value, F.col(value) - F.col("_mean")).drop("_mean")
 
 
 def against_median(rows: DataFrame, values: dict[str, bool], groups: list[str], least: int = 3) -> DataFrame:
@@ -40,7 +40,7 @@ def against_median(rows: DataFrame, values: dict[str, bool], groups: list[str],
     agg = rows.where(known_group(groups[-1])).groupBy(*groups).agg(
         *(F.percentile(v, 0.5).alias(f"_m_{v}") for v in values), *(F.count(v).alias(f"_n_{v}") for v in values)
     )
-    joined = rows.join(F.broadcast(agg), groups, "left")
+    joined = rows.join(agg, groups, "left")
     out = {}
     for v, above in values.items():
         beats = F.col(v) > F.col(f"_m_{v}") if above else F.col(v) < F.col(f"_m_{v}")
@@ -91,7 +91,11 @@ def robust_scores(long: DataFrame, groups: list[str], value: str = "value", leas
 
 def pooled_calibration(long: DataFrame, snapshot: str, groups: list[str], value: str = "value", least: int = 3) -> DataFrame:
     """For each snapshot, the values of it and all before it, each snapshot
-    winsorised by its own percentiles and skipped below ``least`` values."""
+    winsorised by its own percentiles and skipped below ``least`` values.
+
+    Each value meets every later snapshot, as the deviations from a moving
+    median must be taken anew; snapshots are bounded by the calendar.
+    """
     own = [snapshot, *groups]
     ends = long.groupBy(*own).agg(F.percentile(value, F.array(F.lit(0.025), F.lit(0.975))).alias("_q"), F.count(value).alias("_n"))
     clipped = long.join(ends.where(F.col("_n") >= least), own).select(

@@ -21,9 +21,10 @@ def coverage(rows: DataFrame, values: list[str], group: str | None = None) -> Da
     return long.withColumn("percent", percent).withColumn("tier", tier)
 
 
-def concept_grid(facts: DataFrame, companies: DataFrame, concepts: DataFrame) -> DataFrame:
-    """Every company with every concept, and how many periods it reports."""
-    grid = companies.select("ticker").crossJoin(F.broadcast(concepts.select("concept")))
+def concept_grid(facts: DataFrame, companies: DataFrame, concepts: list[str]) -> DataFrame:
+    """Every company with every concept, and how many periods it reports. The
+    concepts are a constant list, so each company row expands in place."""
+    grid = companies.select("ticker", F.explode(F.array(*map(F.lit, concepts))).alias("concept"))
     known = facts.where("value IS NOT NULL").groupBy("ticker", "concept").agg(F.countDistinct("period_end").alias("periods"))
     return grid.join(known, ["ticker", "concept"], "left").withColumn("periods", F.coalesce("periods", F.lit(0)))
 

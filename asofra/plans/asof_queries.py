@@ -188,7 +188,7 @@ _quarters = "SELECT ticker, period_end AS qend, max(value) AS value FROM {facts}
 
 
 @query(
-    f"""WITH q AS ({_quarters}), a AS (SELECT DISTINCT ticker, date AS day FROM {{prices}} WHERE date < DATE '1996-07-01')
+    f"""WITH q AS ({_quarters}), a AS (SELECT DISTINCT ticker, date AS day FROM {{prices}})
     SELECT ticker, day, near_qend, round(near_value, 6) AS near_value FROM (
       SELECT a.ticker, a.day, q.qend AS near_qend, q.value AS near_value,
         row_number() OVER (PARTITION BY a.ticker, a.day ORDER BY abs(q.qend - a.day) NULLS LAST, q.qend) AS rn
@@ -197,7 +197,7 @@ _quarters = "SELECT ticker, period_end AS qend, max(value) AS value FROM {facts}
 )
 def nearest_within_tol(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarters = table(spark, sf_dir, "facts").where("concept = 'total_assets'").groupBy("ticker", F.col("period_end").alias("qend")).agg(F.max("value").alias("value"))
-    days = table(spark, sf_dir, "prices").where("date < DATE '1996-07-01'").select("ticker", F.col("date").alias("day")).distinct()
+    days = table(spark, sf_dir, "prices").select("ticker", F.col("date").alias("day")).distinct()
     out = asof.nearest(days, quarters, ["ticker"], "day", "qend", 30, ["qend", "value"])
     return out.withColumn("near_value", F.round("near_value", 6))
 

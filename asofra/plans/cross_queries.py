@@ -10,7 +10,7 @@ from ..operators import daily, features, reference_data, validate
 from ..operators.asof import members_at
 from ..sources import text
 from ..streaming import incremental
-from .adapter import table
+from .adapter import ANNUAL, table
 from .registry import query
 
 MONTH = "SELECT ticker, sector, industry, CAST(date_trunc('month', date) AS DATE) AS month, avg(level) AS level, max(size) AS size FROM {panel} GROUP BY 1, 2, 3, 4"
@@ -167,12 +167,11 @@ def coverage_by_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH k AS (SELECT ticker, concept, count(DISTINCT period_end) AS periods FROM {facts} WHERE value IS NOT NULL GROUP BY 1, 2),
-    c AS (SELECT DISTINCT concept FROM {facts})
-    SELECT s.ticker, c.concept, coalesce(k.periods, 0) AS periods FROM {companies} s CROSS JOIN c LEFT JOIN k ON k.ticker = s.ticker AND k.concept = c.concept"""
+    s AS (SELECT ticker, unnest([""" + ", ".join(f"'{c}'" for c in ANNUAL) + """]) AS concept FROM {companies})
+    SELECT s.ticker, s.concept, coalesce(k.periods, 0) AS periods FROM s LEFT JOIN k ON k.ticker = s.ticker AND k.concept = s.concept"""
 )
 def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = table(spark, sf_dir, "facts")
-    return validate.concept_grid(facts, table(spark, sf_dir, "companies"), facts.select("concept").distinct())
+    return validate.concept_grid(table(spark, sf_dir, "facts"), table(spark, sf_dir, "companies"), ANNUAL)
 
 
 @query(
@@ -230,8 +229,8 @@ def class_synthesis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("shares", F.round("shares", 4))
 
 
-_base = "SELECT s_suppkey AS ticker, s_name AS sector, 'base' AS source FROM {supplier} WHERE s_suppkey % 3 <> 0"
-_over = "SELECT s_suppkey AS ticker, upper(s_name) AS sector, 'override' AS source FROM {supplier} WHERE s_suppkey % 2 = 0"
+_base = "SELECT s_suppkey AS ticker, s_name AS sector, 'base' AS source FROM {supplier} WHERE s_acctbal >= 2000"
+_over = "SELECT s_suppkey AS ticker, upper(s_name) AS sector, 'override' AS source FROM {supplier} WHERE s_acctbal < 5000"
 
 
 @query(
@@ -313,13 +312,13 @@ def company_like_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH last AS (SELECT user_id, max(ts) AS cursor FROM {events} WHERE event_id % 3 = 0 GROUP BY 1)
+    """WITH last AS (SELECT user_id, max(ts) AS cursor FROM {events} WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1)
     SELECT e.user_id, count(*) AS fresh, round(sum(e.value), 4) AS total FROM {events} e LEFT JOIN last l ON l.user_id = e.user_id
     WHERE l.cursor IS NULL OR e.ts > l.cursor GROUP BY 1"""
 )
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    cursor = events.where("event_id % 3 = 0").groupBy("user_id").agg(F.max("ts").alias("cursor"))
+    cursor = events.where("ts < TIMESTAMP_NTZ '2024-01-15'").groupBy("user_id").agg(F.max("ts").alias("cursor"))
     fresh = events.join(cursor, "user_id", "left").where("cursor IS NULL OR ts > cursor")
     return fresh.groupBy("user_id").agg(F.count("*").alias("fresh"), F.round(F.sum("value"), 4).alias("total"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import DURATIONS, FAMILIES
+from ..functions.storage import written
 from ..operators import asof, indicators, periods, snapshot, splits, vintages
 from .adapter import table
 from .asof_queries import AS_OF, RANKED, view_sql
@@ -58,7 +59,7 @@ WIDE_SQL = _wide_sql()
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts, cuts = table(spark, sf_dir, "facts"), table(spark, sf_dir, "splits")
-    view = vintages.as_of_view(facts, F.lit(AS_OF).cast("date"))
+    view = written(vintages.as_of_view(facts, F.lit(AS_OF).cast("date")), "view")
     year = vintages.latest_annual(view)
     rows = snapshot.share_counts(view, snapshot.wide_rows(view, year.select("ticker", "fiscal_year"), ["ticker"]), cuts, ["ticker"])
     priced = asof.as_of_fresh(rows.select("ticker", "c_filed"), table(spark, sf_dir, "prices"), "ticker", "c_filed", "date", "close")
@@ -84,9 +85,8 @@ for _name in FAMILIES:
 
 
 @query(
-    f"""{WIDE_SQL}, days AS (SELECT DISTINCT ticker, date FROM {{prices}} WHERE date >= {DATE} AND date < DATE '1999-01-01'),
-    stub AS (SELECT ticker, {', '.join(f'c_{c} AS stub_{s}' for s, c in indicators.STUB_SOURCES.items())}, {indicators.formulas()['eps_growth_yoy']} AS eps_growth_yoy FROM whole),
-    d AS (SELECT s.*, p.date, p.close AS price FROM stub s JOIN {{prices}} p ON p.ticker = s.ticker WHERE p.date >= {DATE} AND p.date < DATE '1999-01-01')
+    f"""{WIDE_SQL}, stub AS (SELECT ticker, {', '.join(f'c_{c} AS stub_{s}' for s, c in indicators.STUB_SOURCES.items())}, {indicators.formulas()['eps_growth_yoy']} AS eps_growth_yoy FROM whole),
+    d AS (SELECT s.*, p.date, p.close AS price FROM stub s JOIN {{prices}} p ON p.ticker = s.ticker WHERE p.date >= {DATE})
     SELECT ticker, date, {', '.join(f'round({e}, 6) + 0e0 AS {n}' for n, e in indicators.price_sensitive().items())} FROM d""",
     dates="date",
 )
@@ -95,7 +95,7 @@ def price_sensitive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     stubs = rows.select(
         "ticker", *(F.col(f"c_{c}").alias(f"stub_{s}") for s, c in indicators.STUB_SOURCES.items()), F.expr(indicators.formulas()["eps_growth_yoy"]).alias("eps_growth_yoy")
     )
-    days = table(spark, sf_dir, "prices").where(f"date >= {DATE} AND date < DATE '1999-01-01'").withColumnRenamed("close", "price")
+    days = table(spark, sf_dir, "prices").where(f"date >= {DATE}").withColumnRenamed("close", "price")
     daily = stubs.join(days, "ticker")
     return daily.select("ticker", "date", *(F.round(F.expr(e), 6).alias(n) for n, e in indicators.price_sensitive().items()))
 
