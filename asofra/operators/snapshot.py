@@ -11,10 +11,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import SHARES_TAGS
+from ..constants import FAMILIES, SHARES_TAGS
 from ..functions.kernel import growth, guarded
 from ..functions.storage import written
-from . import asof, periods, splits, vintages
+from . import asof, cross_section, periods, splits, vintages
 from .indicators import CONCEPTS, derived, formulas, masked, statutory_rate
 
 LAG_PREFIX = {1: "p_", 2: "l2_", 3: "l3_", 4: "l4_", 5: "l5_"}
@@ -212,7 +212,8 @@ def indicator_rows(wide: DataFrame, keep: Iterable[str], sector: str | None = "s
     company's own ingredient."""
     priced = wide.withColumn("market_cap", F.col("price") * F.col("c_shares_outstanding")).withColumn("tax_rate", tax_rate())
     made = {n: F.expr(masked(n, f"({e})", sector) if sector else e) for n, e in formulas().items()}
-    return priced.select(*keep, *(made[n].alias(n) for n in made))
+    lags = (F.col("p_revenue").alias("ing_rev_lag1"), F.col("l2_revenue").alias("ing_rev_lag2"))
+    return priced.select(*keep, *(made[n].alias(n) for n in made), *lags)
 
 
 def assemble(facts: DataFrame, prices: DataFrame, split_table: DataFrame, companies: DataFrame, dates: DataFrame) -> DataFrame:
@@ -231,5 +232,52 @@ def assemble(facts: DataFrame, prices: DataFrame, split_table: DataFrame, compan
     priced = asof.as_of_fresh(wide.select(*keys, "filed"), prices, "ticker", "filed", "date", "close")
     factor = splits.with_factor(priced, split_table, "price_date")
     price = factor.select(*keys, (F.col("close") / F.col("factor")).alias("price"))
-    whole = wide.join(price, keys, "left").join(quarter_features(view, split_table, keys, wide), keys, "left")
+    native = written(quarter_features(view, split_table, keys, wide), "native")
+    whole = wide.join(price, keys, "left").join(native, keys, "left")
     return indicator_rows(whole.join(companies, "ticker"), [*keys, "sector", "industry", "fiscal_year"])
+
+
+#: Components of ms_score, and whether above the sector's median is good.
+ABOVE = {"ms_roa": True, "ms_cfroa": True, "ms_rd": True, "ms_capex": True, "ms_adv": True, "ms_roa_vol": False, "ms_rev_vol": False}
+REVENUES = ("revenue_raw", "ing_rev_lag1", "ing_rev_lag2")
+
+
+def finalize(rows: DataFrame, date: str = "as_of") -> DataFrame:
+    """Turn ingredients into cross-section indicators, date by date: capital
+    growth less the sector's mean, Mohanram components against the sector's
+    median and their sum, industry concentration over three years, and the
+    industry's growth in the Whited-Wu index. Unknown groups give null; masks
+    apply last, ingredients go.
+    """
+    sector, industry = [date, "sector"], [date, "industry"]
+    out = cross_section.demeaned(rows, "ch_inv_ia", sector)
+    out = cross_section.against_median(out, ABOVE, sector)
+    parts = [F.col(n) for n in FAMILIES["mohanram"] if n != "ms_score"]
+    out = out.withColumn("ms_score", sum(parts[1:], parts[0]))
+    known = rows.where(cross_section.known_group("industry"))
+    positive = {r: F.when(F.col(r) > 0, F.col(r)) for r in REVENUES}
+    sums = known.groupBy(*industry).agg(
+        *(F.sum(c * c).alias(f"_q_{r}") for r, c in positive.items()), *(F.sum(c).alias(f"_s_{r}") for r, c in positive.items()),
+        *(F.count(c).alias(f"_n_{r}") for r, c in positive.items()),
+        F.sum(F.when(F.col("ing_rev_lag1").isNotNull(), F.col("revenue_raw"))).alias("_now"),
+        F.sum(F.when(F.col("revenue_raw").isNotNull(), F.col("ing_rev_lag1"))).alias("_before"),
+        F.count(F.when(F.col("revenue_raw").isNotNull() & F.col("ing_rev_lag1").isNotNull(), 1)).alias("_both"),
+    )
+    enough = F.greatest(F.lit(2.0), F.ceil(F.col("_n_revenue_raw") / 2).cast("double"))
+    shares = F.array_compact(F.array(*(
+        F.when(F.col(f"_n_{r}") >= enough, F.col(f"_q_{r}") / (F.col(f"_s_{r}") * F.col(f"_s_{r}"))) for r in REVENUES
+    )))
+    mean = F.when(F.size(shares) > 0, F.aggregate(shares, F.lit(0.0), lambda a, x: a + x) / F.size(shares))
+    growth_ = F.when((F.col("_both") >= 2) & (F.col("_before") > 0), F.col("_now") / F.col("_before") - 1)
+    groups = sums.select(*industry, mean.alias("_herf"), growth_.alias("_g"))
+    out = out.join(groups, industry, "left").withColumns(
+        {"herf": F.col("_herf"), "ww_index": F.col("ww_index") + F.lit(0.102) * F.col("_g") / 4}
+    )
+    return cross_section.masked_columns(out.drop("_herf", "_g", "ing_rev_lag1", "ing_rev_lag2"))
+
+
+def scores(rows: DataFrame, values: list[str], date: str = "as_of") -> DataFrame:
+    """(ticker, date, name, value, z): robust scores of finalised rows; a
+    masked cell is null and so neither calibrates nor scores."""
+    long = cross_section.melt(rows, ["ticker", date], values)
+    return cross_section.robust_scores(long, [date, "name"])

@@ -361,10 +361,12 @@ def universe_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(None)
 def daily_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dense daily layer of all companies: fund rows at their own filing
-    days, carried forward and priced."""
+    """The dense daily layer of all companies: a year's row as known when its
+    last fact was filed (the stand-in filings hold a few facts each), carried
+    forward and priced."""
     facts, cuts = table(spark, sf_dir, "facts"), table(spark, sf_dir, "splits")
-    fund = daily.fund_layer(facts, cuts, table(spark, sf_dir, "companies"))
+    years = facts.where("fiscal_qtr = 'FY'").groupBy("ticker", "fiscal_year").agg(F.max("filed").alias("as_of"))
+    fund = daily.fund_layer(facts, cuts, table(spark, sf_dir, "companies"), years)
     return daily.daily_layer(table(spark, sf_dir, "prices"), fund, daily.pershare_layer(facts), cuts, ["roe", "roa"])
 
 

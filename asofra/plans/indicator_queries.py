@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import DURATIONS, FAMILIES
 from ..functions.storage import written
-from ..operators import asof, indicators, periods, snapshot, splits, vintages
+from ..operators import asof, indicators, periods, quarterly, snapshot, splits, vintages
 from .adapter import table
 from .asof_queries import AS_OF, RANKED, view_sql
 from .registry import query
@@ -222,11 +222,31 @@ def decumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("ticker", "fiscal_year", "period_type", F.round("standalone", 4).alias("standalone"))
 
 
+@query(None)
+def quarterly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarterly TTM indicators, each as known when the quarter's last fact
+    was filed."""
+    facts, companies = table(spark, sf_dir, "facts"), table(spark, sf_dir, "companies")
+    rows = facts.where("fiscal_qtr IN ('Q1', 'Q2', 'Q3')")
+    days = rows.groupBy("ticker", "fiscal_year", F.col("fiscal_qtr").alias("quarter")).agg(F.max("filed").alias("as_of"))
+    return quarterly.quarter_layer(facts, table(spark, sf_dir, "splits"), companies, days)
+
+
 @query(None)
 def snapshot_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 130 indicators for all companies on several dates in one job."""
     dates = spark.sql("SELECT explode(array(DATE '1997-06-30', DATE '1998-06-30', DATE '1999-06-30')) AS as_of")
     tables = (table(spark, sf_dir, n) for n in ("facts", "prices", "splits", "companies"))
-    return snapshot.assemble(*tables, dates)
+    return snapshot.finalize(snapshot.assemble(*tables, dates))
+
+
+@query(None)
+def snapshot_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Robust scores of the finalised snapshots, in long form."""
+    return snapshot.scores(snapshot_indicators(spark, sf_dir), indicators_scored())
+
+
+def indicators_scored() -> list[str]:
+    return [*FAMILIES["profitability"], *FAMILIES["leverage"]]
 
 

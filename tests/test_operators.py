@@ -354,3 +354,51 @@ def test_reports(spark):
     left = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
     right = spark.createDataFrame([(1, 1.0), (3, 3.0)], "k int, v double")
     assert sorted((r.k, r.left_value, r.right_value) for r in validate.difference(left, right, ["k"], ["v"]).collect()) == [(2, 2.0, None), (3, None, 3.0)]
+
+
+def test_finalize(spark):
+    names = ["ticker", "as_of", "sector", "industry", *constants.INDICATORS, "ing_rev_lag1", "ing_rev_lag2"]
+    rows = []
+    for k in range(5):
+        values = {n: 1.0 * k for n in constants.INDICATORS} | {"ms_score": None, "ms_accrual": 1.0, "revenue_raw": 10.0 * k, "ww_index": 0.0}
+        rows.append((f"T{k}", D("2024-01-01"), "Utilities" if k == 4 else "Energy", "Oil", *(values[n] for n in constants.INDICATORS), 8.0 * k, 4.0 * k))
+    schema = "ticker string, as_of date, sector string, industry string, " + ", ".join(f"{n} double" for n in names[4:])
+    got = {r.ticker: r for r in snapshot.finalize(spark.createDataFrame(rows, schema)).collect()}
+    assert [got[f"T{k}"].ch_inv_ia for k in range(4)] == [-1.5, -0.5, 0.5, 1.5]
+    assert (got["T3"].ms_roa, got["T3"].ms_roa_vol, got["T3"].ms_score, got["T0"].ms_score) == (1, 0, 6, 3)
+    assert got["T0"].herf == pytest.approx(30 / 100) and got["T4"].herf is None and got["T4"].ms_roa is None
+    assert got["T1"].ww_index == pytest.approx(0.102 * 0.25 / 4) and "ing_rev_lag1" not in got["T1"].asDict()
+
+
+def test_quarter_layer(spark):
+    rows = []
+    for year in (2022, 2023):
+        for q, end in enumerate(("03-31", "06-30", "09-30", "12-31"), 1):
+            filed = f"{year}-{3 * q + 1:02d}-20" if q < 4 else f"{year + 1}-02-20"
+            label, form, acc = (f"Q{q}", "10-Q", f"{year}{q}") if q < 4 else ("FY", "10-K", f"{year}4")
+            flow = lambda c, v: rows.append(fact(c, v, f"{year}-{end}", filed, f"{year}-01-01", form, acc, year, label))  # noqa: B023, E731
+            for concept, value in (("revenue", 100.0 * q), ("net_income", 10.0 * q), ("operating_cashflow", 20.0 * q), ("capex", 5.0 * q), ("cogs", 60.0 * q), ("eps_diluted", 1.0 * q)):
+                flow(concept, value)
+            for concept in ("total_assets", "stockholders_equity", "cash"):
+                rows.append(fact(concept, 400.0, f"{year}-{end}", filed, None, form, acc, year, label))
+    from asofra.operators import quarterly
+
+    companies = spark.createDataFrame([("T", "Energy", "Oil")], "ticker string, sector string, industry string")
+    none = spark.createDataFrame([], "ticker string, ex_date date, ratio double")
+    got = {(r.fiscal_year, r.quarter): r for r in quarterly.quarter_layer(spark.createDataFrame(rows, FACTS), none, companies).collect()}
+    assert len(got) == 6 and got[(2022, "Q2")].roe is None and got[(2022, "Q2")].q3m_revenue == 100
+    row = got[(2023, "Q2")]
+    assert (row.roe, row.gross_margin, row.stub_revenue, row.stub_fcf, row.stub_eps) == (0.1, 0.4, 400, 60, 4)
+    assert row.roaq == pytest.approx(10 / 400) and row.q3m_net_income == 10 and row.filed_date == D("2023-07-20")
+
+
+def test_instance_document(spark):
+    from asofra.sources import xbrl
+
+    context = '<context id="{0}"><entity><segment>{1}</segment></entity><period><instant>2024-04-15</instant></period></context>'
+    member = '<explicitMember dimension="{0}">{1}</explicitMember>'
+    xml = '<x xmlns:dei="d">' + context.format("a", member.format("us-gaap:StatementClassOfStockAxis", "co:ClassAMember")) + context.format("b", member.format("other:Axis", "z"))
+    xml += context.format("c", "") + "".join(f'<dei:EntityCommonStockSharesOutstanding contextRef="{c}">{v}</dei:EntityCommonStockSharesOutstanding>' for c, v in (("a", 5), ("b", 6), ("c", 7), ("c", "n/a"))) + "</x>"
+    docs = spark.createDataFrame([("A1", "10-Q", D("2024-05-01"), xml), ("A2", "10-Q", None, "no xml"), ("A3", None, None, None)], "accession string, form string, filed date, xml string")
+    got = [(r.member, r.value, str(r.period_end), r.form) for r in xbrl.instance_facts(docs).collect()]
+    assert sorted(got) == [("", 7.0, "2024-04-15", "10-Q"), ("co:ClassAMember", 5.0, "2024-04-15", "10-Q")]
