@@ -28,17 +28,21 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, table
 from .labelled import pieces, remainder, sample
+from .simhash import fingerprint
 
 WINDOW = 8
 LEVEL = 3
 ORDINARY_BYTES = 16384
 #: Most labelled rows that the dictionaries and the curve are fitted on.
 TRAIN_ROWS = 6000
-#: Of those rows, one in so many calibrates and trains no dictionary.
-CALIBRATE = 3
+#: The curve is calibrated on gains of rows that their dictionaries have not
+#: seen: so many times, dictionaries of the other folds measure one fold.
+FOLDS = 3
 #: A word is toxic text if so large a share of the toxic rows (and so many at
 #: least) have it, so many times the share of the other rows.
-SHARE, LEAST, LIFT = 0.015, 4, 10.0
+SHARE, LEAST, LIFT = 0.015, 3, 20.0
+#: Texts whose fingerprints differ in so many of 64 bits are near copies.
+COPY_BITS = 12
 #: A window whose gain is so many bytes is a hit.
 HIT = 3
 THRESHOLD = 0.3
@@ -167,21 +171,36 @@ def calibrate(found: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float,
     return w[:-1], float(w[-1]), center, scale
 
 
+def without_copies(texts: list[bytes]) -> np.ndarray:
+    """Which texts have no near copy before them. Words of a passage that was
+    copied often would look as if they set its label apart."""
+    found = np.array([fingerprint(t)[0] for t in texts], np.uint64)
+    kept = np.zeros(len(texts), bool)
+    for k in range(len(texts)):
+        kept[k] = not (np.bitwise_count(found[:k][kept[:k]] ^ found[k]) <= COPY_BITS).any()
+    return kept
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``most`` labelled rows, chosen by a hash of the id; the
-    driver gets their texts. A null text counts as empty. Without both labels
+    driver gets their texts. Of near copies among them one counts. A null text
+    counts as empty. Without both labels
     the score is the share of toxic labels, one half without any."""
     chosen = F.broadcast(sample(labels, label, most))
-    found = docs.select("doc_id", F.col("text").cast("binary")).join(chosen, "doc_id").toArrow()
-    order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
-    texts = [found["text"][k].as_py() or b"" for k in order.tolist()]
-    toxic = found["label"].to_numpy()[order] == 1
+    rows = docs.select("doc_id", F.col("text").cast("binary")).join(chosen, "doc_id").toArrow()
+    order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
+    texts = [rows["text"][k].as_py() or b"" for k in order.tolist()]
+    toxic = rows["label"].to_numpy()[order] == 1
+    alone = without_copies(texts)
+    texts, toxic = [t for t, a in zip(texts, alone) if a], toxic[alone]
     if toxic.all() or not toxic.any():
         share = (toxic.sum() + 0.5) / (toxic.size + 1)
         return Model(b" ", b" ", np.zeros(5), float(np.log(share / (1 - share))), np.zeros(5), np.ones(5))
-    held = np.arange(len(texts)) % CALIBRATE == 0
-    ordinary, worse = train_dictionaries([t for t, h in zip(texts, held) if not h], toxic[~held])
-    return Model(ordinary, worse, *calibrate(gains([t for t, h in zip(texts, held) if h], ordinary, worse), toxic[held]))
+    fold, found = np.arange(len(texts)) % FOLDS, np.zeros((len(texts), 5))
+    for k in range(FOLDS):
+        own = train_dictionaries([t for t, f in zip(texts, fold) if f != k], toxic[fold != k])
+        found[fold == k] = gains([t for t, f in zip(texts, fold) if f == k], *own)
+    return Model(*train_dictionaries(texts, toxic), *calibrate(found, toxic))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
