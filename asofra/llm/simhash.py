@@ -9,6 +9,11 @@ distance verified. Texts with one fingerprint are one node.
 Beyond a small radius chance would link unrelated texts of a large corpus. A
 second lane of 64 bits, from remixed shingle hashes, is then verified as well.
 
+Near copies proper are texts whose sets of five-word shingles have a
+similarity of 0.8. There the fingerprints, of either lane, only propose
+groups: within each proposed group the sets themselves are compared, and only
+a pair that has the similarity is a link.
+
 Within one bucket of a table the links are reduced to a spanning forest: the
 first fingerprint takes all others in its reach, they take theirs, and so on.
 That keeps every link's connection without writing all pairs of a dense
@@ -31,10 +36,18 @@ from .components import components
 WORDS = 4
 SEED = 42
 RADIUS = 4
-#: For near copies in general: shingles of five words. Sets with a similarity
-#: of 0.8 differ in 9.7 bits of 64 on average, and in 19.4 of 128.
-COPY_WORDS, COPY_RADIUS, COPY_WHOLE = 5, 11, 26
+#: For near copies in general: shingles of five words, and a similarity of 4/5.
+#: Such sets differ in 9.7 bits of 64 on average, and in 19.4 of 128; a pair is
+#: proposed by at most 14 bits in either lane and at most 33 in both.
+COPY_WORDS, COPY_RADIUS, COPY_WHOLE = 5, 14, 33
+ALIKE, ALIKE_OF = 4, 5
 MOST_RADIUS = 14
+#: A proposed group of more texts, or more shingles, is compared in blocks.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
+#: Members of such a group that every block of it sees at first.
+PIVOTS = 32
+#: Pairs of fingerprints of a large bucket compared at a time.
+PAIRS = 1 << 18
 #: Buckets up to this size are compared all at once, shifted against themselves.
 SMALL_BUCKET = 8
 #: Hashes whose bits are counted at a time.
@@ -60,29 +73,35 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * set_ > len(hashes)).view(">u8")[0])
 
 
+def shingles(text: bytes | None, words: int) -> np.ndarray:
+    """Hashes of the word shingles of the text, A-Z lower-cased, in order. A
+    text of fewer words is one shingle, a text without words (or null) has none."""
+    parts = (text or b"").lower().split()
+    joined = b" ".join(parts)
+    digest = xxhash.xxh64_intdigest
+    if len(parts) <= words:
+        return np.array([digest(joined, SEED)] if parts else [], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))[: len(parts) - words + 1]
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist())], np.uint64)
+
+
+def _lanes(hashes: np.ndarray, lanes: int) -> list[int]:
+    out = []
+    for _ in range(lanes):
+        out.append(_majority(hashes))
+        hashes = (hashes ^ (hashes >> np.uint64(32))) * LANE_MIX
+        hashes ^= hashes >> np.uint64(29)
+    return out
+
+
 def fingerprint(text: bytes | None, words: int = WORDS, lanes: int = 1) -> list[int]:
     """SimHash over word shingles of the text, A-Z lower-cased, per lane.
 
     A text of fewer words is one shingle, a text without words (or null) has
     fingerprint 0. Repeated shingles count each time.
     """
-    parts = (text or b"").lower().split()
-    if not parts:
-        return [0] * lanes
-    joined = b" ".join(parts)
-    if len(parts) <= words:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))[: len(parts) - words + 1]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[words - 1 :].tolist())]
-    lane, out = np.array(hashes, np.uint64), []
-    for _ in range(lanes):
-        out.append(_majority(lane))
-        lane = (lane ^ (lane >> np.uint64(32))) * LANE_MIX
-        lane ^= lane >> np.uint64(29)
-    return out
+    return _lanes(shingles(text, words), lanes)
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, lanes: int = 1) -> DataFrame:
@@ -104,6 +123,27 @@ def fingerprints(docs: DataFrame, words: int = WORDS, lanes: int = 1) -> DataFra
     return signed.withColumn("node", F.col("a") if lanes == 1 else F.xxhash64("a", "b"))
 
 
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_id, node, a, b) per row, by the set of five-word shingles
+    alone: node names the set, and a repeated shingle counts once."""
+    arrow_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.zeros((batch.num_rows, 3), np.uint64)
+            for k, text in enumerate(batch["text"]):
+                own = np.unique(shingles(text.as_py(), COPY_WORDS))
+                found[k] = [xxhash.xxh64_intdigest(own.tobytes(), SEED), *_lanes(own, 2)]
+            node, a, b = (pa.array(found[:, i].copy().view(np.int64)) for i in range(3))
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["text_id"], node, a, b], ["doc_id", "text_id", "node", "a", "b"]
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.col("text").cast("binary"))
+    return rows.mapInArrow(run, f"doc_id {kind}, text_id long, node long, a long, b long")
+
+
 def _keys(fp: Column, radius: int) -> Column:
     """The table keys of a fingerprint, segment number above segment value.
 
@@ -128,6 +168,17 @@ def _near(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, radius: in
     return (first <= radius) & (first + np.bitwise_count(b ^ d) <= whole)
 
 
+def _linked(a: np.ndarray, b: np.ndarray, radius: int, whole: int) -> np.ndarray:
+    """Positions of the fingerprints that have any link."""
+    step, out = max(1, PAIRS // max(1, a.size)), np.zeros(a.size, bool)
+    for k in range(0, a.size, step):
+        x, y = np.nonzero(np.bitwise_count(a[k : k + step, None] ^ a[None]) <= radius)
+        x += k
+        x, y = x[x != y], y[x != y]
+        out[x[_near(a[x], b[x], a[y], b[y], radius, whole)]] = True
+    return np.flatnonzero(out)
+
+
 def spanning(a: np.ndarray, b: np.ndarray, radius: int, whole: int) -> list[tuple[int, int]]:
     """A spanning forest, by position, of the links among the fingerprints."""
     links, rest = [], np.arange(a.size)
@@ -160,6 +211,8 @@ def bucket_links(keys: np.ndarray, node: np.ndarray, a: np.ndarray, b: np.ndarra
         out.append(np.stack((n[:-step][hit], n[step:][hit]), axis=1))
     for s, c in zip(start[count > SMALL_BUCKET].tolist(), count[count > SMALL_BUCKET].tolist()):
         own, at = np.unique(node[s : s + c], return_index=True)
+        linked = _linked(a[s : s + c][at], b[s : s + c][at], radius, whole)
+        own, at = own[linked], at[linked]
         if links := spanning(a[s : s + c][at], b[s : s + c][at], radius, whole):
             out.append(own[np.array(links)])
     found = np.concatenate(out)
@@ -215,10 +268,18 @@ def near_duplicates(
     other id. No documents: no rows. Other columns are ignored.
     """
     signed = written(fingerprints(docs, words, 1 if whole is None else 2), "simhash-docs")
-    nodes = written(
-        signed.groupBy("node", "a", "b").agg(F.min("doc_id").alias("_least"), F.count("*").alias("_n")), "simhash-nodes"
+    nodes = written(_nodes(signed), "simhash-nodes")
+    return _grouped(signed, nodes, written(links(nodes, radius, whole), "simhash-links"))
+
+
+def _nodes(signed: DataFrame) -> DataFrame:
+    return signed.groupBy("node", "a", "b").agg(
+        F.min("doc_id").alias("_least"), F.min("text_id").alias("_text"), F.count("*").alias("_n")
     )
-    edges = written(links(nodes, radius, whole), "simhash-links")
+
+
+def _grouped(signed: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(doc_id, text_id, a, component_id) by the components of ``edges``."""
     roots = components(edges)
     placed = written(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
     least = placed.groupBy("root").agg(F.min("_least").alias("component_id"), F.count("*").alias("_m"))
@@ -228,14 +289,128 @@ def near_duplicates(
     )
 
 
+def alike(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest, by position, of the pairs of sets (each without
+    repeats) that have a similarity of ALIKE / ALIKE_OF or more."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    post = owner[np.argsort(code, kind="stable")]
+    start, own = np.cumsum(count) - count, np.cumsum(size) - size
+    links, rest = [], np.arange(len(sets))
+    while rest.size > 1:
+        todo, rest = [rest[0]], rest[1:]
+        while todo and rest.size:
+            at = todo.pop()
+            mine = code[own[at] : own[at] + size[at]]
+            mine = mine[count[mine] > 1]
+            many = count[mine]
+            where = np.repeat(start[mine] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            common = np.bincount(post[where], minlength=len(sets))[rest]
+            near = ALIKE_OF * common >= ALIKE * (size[rest] + size[at] - common)
+            if near.any():
+                links += [(at, x) for x in rest[near]]
+                todo += list(rest[near])
+                rest = rest[~near]
+    return links
+
+
+def _alike_in(groups: DataFrame) -> DataFrame:
+    """(u, v) by ``alike`` within each group of ``groups`` (group, node, grams)."""
+    spark = groups.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        now = None
+
+        def linked() -> pa.RecordBatch:
+            nodes = np.array(list(held), np.int64)
+            found = nodes[np.array(alike(list(held.values())), np.int64).reshape(-1, 2)]
+            return pa.RecordBatch.from_arrays([pa.array(found[:, i].copy()) for i in (0, 1)], ["u", "v"])
+
+        for batch in batches:
+            for group, node, grams in zip(batch["group"].to_pylist(), batch["node"].to_pylist(), batch["grams"]):
+                if group != now and held:
+                    yield linked()
+                    held = {}
+                now = group
+                held[node] = np.frombuffer(grams.as_py(), np.uint64)
+        if held:
+            yield linked()
+
+    arrow_batches(spark)
+    return groups.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(run, "u long, v long")
+
+
+def alike_links(docs: DataFrame, nodes: DataFrame, proposed: DataFrame) -> DataFrame:
+    """(u, v) between ``nodes`` of ``shingle_sets``; its closure is that of all
+    pairs with the similarity within the components of ``proposed``.
+
+    The sets of a component meet in one place, or, of a large one, first in
+    blocks that share PIVOTS of its members. Where that leaves a large
+    component in parts, each pair of its blocks meets.
+    """
+    spark = docs.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [np.unique(shingles(t.as_py(), COPY_WORDS)) for t in batch["text"]]
+            size = pa.array(list(map(len, grams)), pa.int64())
+            grams = pa.array([g.tobytes() for g in grams], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["root"], size, grams], ["node", "root", "size", "grams"])
+
+    members = written(nodes.join(components(proposed), "node").select("node", "root", "_text", "_n"), "simhash-members")
+    texts = docs.select(F.xxhash64("text").alias("_text"), F.col("text").cast("binary"))
+    found = join_groups(texts, members, ["_text"], "_n").select("node", "root", "text")
+    arrow_batches(spark)
+    sets = found.mapInArrow(run, "node long, root long, size long, grams binary").dropDuplicates(["node"])
+    sets = written(sets, "simhash-sets")
+    need = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    groups = written(sets.groupBy("root").agg(need.alias("blocks"), F.count("*").alias("_m")), "simhash-groups")
+    dealt = join_groups(sets, groups, ["root"], "_m")
+    block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
+    large = sets.select("root", "node").join(groups.where("blocks > 1").select("root"), "root")
+    pivots = (
+        large.groupBy("root", F.pmod("node", F.lit(PIVOTS)).alias("k")).agg(F.min("node").alias("node"))
+        .select("node", F.lit(True).alias("pivot"))
+    )
+    seen = dealt.join(pivots, "node", "left")
+    at = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(block))
+    first = seen.withColumn("at", F.explode(at)).select(F.xxhash64("root", "at").alias("group"), "node", "grams")
+    edges = written(_alike_in(first), "simhash-alike")
+    if groups.where("blocks > 1").isEmpty():
+        return edges
+    labels = large.join(components(edges).withColumnRenamed("root", "label"), "node", "left")
+    parts = labels.groupBy("root").agg(F.min(F.coalesce("label", "node")).alias("x"), F.max(F.coalesce("label", "node")).alias("y"))
+    open_ = parts.where("x <> y").join(groups, "root").select("root", "blocks", "_m")
+    again = join_groups(sets, written(open_, "simhash-open"), ["root"], "_m").withColumn("block", block)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pairs = again.withColumn("other", other).select(
+        F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("group"), "node", "grams"
+    )
+    return edges.union(written(_alike_in(pairs), "simhash-alike"))
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_id, a, component_id) per row as of ``near_duplicates``,
+    by links between texts whose shingle sets have a similarity of 0.8."""
+    signed = written(shingle_sets(docs), "simhash-docs")
+    nodes = written(_nodes(signed), "simhash-nodes")
+    swapped = nodes.select("node", F.col("b").alias("a"), F.col("a").alias("b"))
+    proposed = [written(links(n, COPY_RADIUS, COPY_WHOLE), "simhash-links") for n in (nodes, swapped)]
+    return _grouped(signed, nodes, written(alike_links(docs, nodes, proposed[0].union(proposed[1])), "simhash-verified"))
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, that with the smallest
-    doc_id, with all columns of ``docs``; shingles of five words.
+    doc_id, with all columns of ``docs``; near copies share 0.8 of their
+    shingles of five words, or are joined by a chain of such pairs.
 
     Rows with equal doc_id and equal text stay or go together; a document
     without an id stays only in a group without any.
     """
-    found = near_duplicates(docs, COPY_WORDS, COPY_RADIUS, COPY_WHOLE)
+    found = near_copies(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_kept_id"), "text_id"
     )

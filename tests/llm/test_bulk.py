@@ -172,6 +172,34 @@ def test_simhash_keeps_one_of_each_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [3, 9, 9]
 
 
+def word_sets(text):
+    words = text.lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+
+@pytest.mark.parametrize("block", [1024, 6])
+def test_near_copies_are_those_of_similarity_0_8(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "PIVOTS", 2)
+    rng = random.Random(9)
+    texts = []
+    for _ in range(12):
+        base = ["w%d" % rng.randint(0, 10**6) for _ in range(200)]
+        for _ in range(8):
+            # one word changes five shingles of 196; four changes leave 0.815, five 0.77
+            copy = base[:]
+            for at in rng.sample(range(2, 38), rng.randint(0, 5)):
+                copy[at * 5] = "c%d" % rng.randint(0, 10**6)
+            texts.append(" ".join(copy))
+    texts += ["few words", "few Words", "", " "]
+    sets = [word_sets(t) for t in texts]
+    label = brute_components(sets, lambda a, b: 5 * len(a & b) >= 4 * len(a | b))
+    want = {min(j for j in range(len(texts)) if label[j] == label[k]) for k in range(len(texts))}
+    kept = simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert {r.doc_id for r in kept.collect()} == want
+
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (5, 5), (None, 1), (2, 1)] + [(100, k) for k in range(101, 180)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
