@@ -193,6 +193,15 @@ def test_pii_terms_that_disclose(spark):
     assert "spy@hq.org" not in clean[1] and clean[20] == texts[20]
 
 
+def test_pii_copies_do_not_hide_a_term(spark):
+    texts = [f"agent zorblax wrote from spy@hq.org about {w}" for w in ("one", "two", "six")]
+    texts += [texts[0]] * 300 + [f"plain things about the list {k}" for k in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in pii.find(df).collect()}
+    assert all("zorblax" in {s.value for s in rows[k] if s.kind == 4} for k in (0, 1, 2, 150))
+    assert not any("about" in {s.value for s in spans} for spans in rows.values())
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_against_sql(spark, name):
     got = QUERIES[name](spark, SF)
