@@ -80,6 +80,7 @@ def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         if n in GRAMS:
             # n-grams that begin and end in a word or at its edge
             real = np.flatnonzero(solid[: value.size] | solid[1 : value.size + 1])
+            real = real[owner[real] == owner[real + 1]]  # not from a gap into the next text
             whose.append(owner[real])
             what.append(_bucket(value[real], 2 + n))
     return [word_part, (np.concatenate(whose), np.concatenate(what))]

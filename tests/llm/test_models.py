@@ -89,6 +89,14 @@ def test_quality(spark):
     assert quality.keep_good(docs.limit(0), model).count() == 0
 
 
+def test_quality_score_does_not_depend_on_the_neighbour():
+    model = quality.Model(np.random.default_rng(0).normal(size=quality.BUCKETS), 0.3)
+    for text in (b"", b"lomika", b"a"):
+        alone = quality.scores([text], model)[0]
+        assert all(quality.scores([text, n, text], model)[[0, 2]].tolist() == [alone] * 2 for n in (b"", b"kalo mi", b"X!! Y"))
+    assert quality.scores([b"", b"kalo"], model)[0] == 1 / (1 + np.exp(-0.3))
+
+
 def test_toxicity(spark):
     def insult(words, rng):
         words[rng.randint(0, 39)] = rng.choice(["dreadfulinsult", "nastyremark"])
