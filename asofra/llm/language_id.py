@@ -52,7 +52,11 @@ def _characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     gap = " " * LONGEST
     raw = np.frombuffer("".join(t + gap for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     start = np.cumsum([0, *(len(t) + LONGEST for t in texts)])
-    return np.where(raw < 1 << 16, FOLD[np.minimum(raw, (1 << 16) - 1)], raw), start
+    chars = FOLD[np.minimum(raw, (1 << 16) - 1)]
+    if (beyond := np.flatnonzero(raw >= 1 << 16)).size:
+        kinds, which = np.unique(raw[beyond], return_inverse=True)
+        chars[beyond] = np.array([ord(chr(c).lower()[0]) if chr(c).isalpha() else 32 for c in kinds.tolist()], np.uint32)[which]
+    return chars, start
 
 
 def _bins(chars: np.ndarray, begin: int, end: int) -> Iterator[np.ndarray]:
@@ -91,14 +95,16 @@ def score(texts: list[str], model: Model) -> tuple[list[str], np.ndarray]:
 
 def fit(docs: DataFrame, most: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``most`` rows of ``docs`` (doc_id, text, lang), chosen
-    by a hash of the id; rows without text, language or id teach nothing.
+    by a hash of the id; an id whose rows disagree on the language is left
+    out, rows without text, language or id teach nothing.
 
     Executors count the bins of their rows; the driver gets one count per
     class and bin. Without any row the model knows no language and answers
     ``und``.
     """
     arrow_batches(docs.sparkSession)
-    known = docs.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    known = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL")
+    # the sample reads ids and languages alone, no texts
     chosen = F.broadcast(sample(known, "lang", most).select("doc_id"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +122,7 @@ def fit(docs: DataFrame, most: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * at.size), pa.array(at), pa.array(own[at])], ["lang", "bin", "n"])
 
     found = (
-        known.join(chosen, "doc_id", "left_semi")
+        known.where("text IS NOT NULL").join(chosen, "doc_id", "left_semi")
         .mapInArrow(count, "lang string, bin long, n long")
         .groupBy("lang", "bin")
         .agg(F.sum("n").alias("n"))
