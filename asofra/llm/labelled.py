@@ -1,9 +1,7 @@
-"""Bounded samples of labelled rows, and features shared by the classifiers."""
+"""Bounded samples of labelled rows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,14 +22,10 @@ def sample(labels: DataFrame, label: str, most: int) -> DataFrame:
     return agreed.select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def pieces(text: bytes, most: int) -> Iterator[bytes]:
-    """``text`` in pieces of at most ``most`` bytes, cut at white space where
-    there is some. Together they are the whole text; where it is cut depends
-    on the text alone. An empty text is one empty piece."""
-    at = 0
-    while len(text) - at > most:
-        end = text.rfind(b" ", at + 1, at + most)
-        end = end if end > 0 else at + most
-        yield text[at:end]
-        at = end
-    yield text[at:]
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """(doc_id, text, label) of the sampled ids that ``docs`` has, one row an
+    id and so at most ``most``: of several texts under one id the least. A
+    null text is empty."""
+    chosen = F.broadcast(sample(labels, label, most))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").cast("int").alias("label"))

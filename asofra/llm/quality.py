@@ -1,7 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
-Every word, pair of neighbouring words and byte n-gram of a text is hashed to
-one of BUCKETS rows of a learned embedding matrix. A document is the mean of
+Every word, pair of neighbouring words and character n-gram of a text, within
+a word and the spaces around it, is hashed to one of BUCKETS rows of a learned embedding matrix. A document is the mean of
 its word rows plus the mean of its n-gram rows, a softmax layer reads it, and
 both are trained together by stochastic gradient descent in numpy. A pair of
 equal neighbours is hashed as "repeated", whatever the word.
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, table
-from .labelled import pieces, remainder, sample
+from .labelled import labelled_texts, remainder
 
 BUCKETS_LOG2 = 16
 BUCKETS = 1 << BUCKETS_LOG2
@@ -33,11 +33,12 @@ RATE = 0.5
 #: Most labelled rows that the classifier is fitted on.
 TRAIN_ROWS = 4000
 THRESHOLD = 0.7
-#: Bytes hashed at a time; a longer text is hashed in pieces.
+#: Characters hashed at a time; a longer text is hashed in pieces, which gives
+#: the same features.
 CHUNK = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
-GAP = b" " * max(GRAMS)
-SPACES = bytes(32 if b in b"\t\n\v\f\r" else b for b in range(256))
+CHARACTER = np.uint64(0x100000001B3)
+SPACES = dict.fromkeys(range(9, 14), " ")
 
 
 @dataclass
@@ -52,59 +53,95 @@ def _bucket(value: np.ndarray, kind: int) -> np.ndarray:
     return ((mixed * MIX) >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)
 
 
-def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(text number, bucket) arrays: first of word features, then of n-grams.
-    No feature crosses from one text into the next."""
-    flat = np.frombuffer(b"".join(t.translate(SPACES) + GAP for t in texts), np.uint8)
-    sizes = np.fromiter((len(t) + len(GAP) for t in texts), np.int64, len(texts))
-    owner = np.repeat(np.arange(len(texts)), sizes)
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts, each behind a space, all white space a
+    space, a space at the end; and where each text begins."""
+    flat = np.frombuffer((" " + " ".join(texts) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
+    start = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return np.where((flat >= 9) & (flat <= 13), np.uint32(32), flat), start
+
+
+def features(texts: list[str], skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(text number, bucket) arrays: first of words and pairs of words, then
+    of n-grams of characters. An n-gram holds no space but at its ends, so no
+    feature crosses from one text into the next. The first ``skip`` characters
+    of a text are the word before it: only its pair with the next word counts.
+    """
+    flat, start = _codes(texts)
+    owner = np.repeat(np.arange(len(texts)), np.diff(start))
+    owner = np.append(owner, len(texts) - 1)  # the space at the end
+    counted = start[:-1] + (0 if skip is None else skip + (skip > 0))
     wide = flat.astype(np.uint64)
     solid = flat != 32
     edge = np.diff(np.concatenate(([0], solid.view(np.int8), [0])))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     inside = np.repeat(begin, end - begin)
     place = np.flatnonzero(solid)
-    # position-weighted sum of mixed bytes: a word's hash
+    # position-weighted sum of mixed characters: a word's hash
     power = (np.arange(int((end - begin).max()) if begin.size else 0, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) * MIX
     terms = (wide[place] + np.uint64(1)) * power[place - inside]
     terms ^= terms >> np.uint64(31)
     terms *= MIX
     words = np.add.reduceat(terms, np.concatenate(([0], np.cumsum(end - begin)[:-1]))) if begin.size else np.zeros(0, np.uint64)
     own = owner[begin]
-    same = own[1:] == own[:-1]
+    mine = begin >= counted[own]
+    same = (own[1:] == own[:-1]) & mine[1:]
     pair = np.where(words[1:] == words[:-1], np.uint64(0), words[:-1] * np.uint64(3) + words[1:])[same]
-    word_part = (np.concatenate((own, own[1:][same])), np.concatenate((_bucket(words, 1), _bucket(pair, 2))))
+    word_part = (np.concatenate((own[mine], own[1:][same])), np.concatenate((_bucket(words[mine], 1), _bucket(pair, 2))))
     whose, what, value = [], [], wide
+    inner = np.ones(wide.size, bool)
     for n in range(2, max(GRAMS) + 1):
-        value = value[: wide.size - n + 1] * np.uint64(257) + wide[n - 1 :]
+        value = value[: wide.size - n + 1] * CHARACTER + wide[n - 1 :]
+        inner = inner[: value.size]
+        if n > 2:
+            inner = inner & solid[n - 2 : n - 2 + value.size]
         if n in GRAMS:
-            # n-grams that begin and end in a word or at its edge
-            real = np.flatnonzero(solid[: value.size] | solid[1 : value.size + 1])
-            real = real[owner[real] == owner[real + 1]]  # not from a gap into the next text
+            real = np.flatnonzero(inner & (solid[: value.size] | solid[n - 1 :] | (n > 2)))
+            real = real[real >= counted[owner[real]]]
             whose.append(owner[real])
             what.append(_bucket(value[real], 2 + n))
     return [word_part, (np.concatenate(whose), np.concatenate(what))]
 
 
-def _groups(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Pieces of texts, CHUNK bytes together, and the text of each piece."""
-    whose, held, size = [], [], 0
+def _pieces(text: str) -> Iterator[tuple[str, int]]:
+    """``text`` in pieces of at most CHUNK characters, cut where white space
+    begins, each behind the word before it, and how long that word is. A
+    longer word is part of one piece."""
+    at, word = 0, ""
+    if len(text) > CHUNK:
+        text = text.translate(SPACES)
+    while len(text) - at > CHUNK:
+        cut = text.rfind(" ", at + 1, at + CHUNK)
+        cut = cut if cut > 0 else text.find(" ", at + CHUNK)
+        if cut < 0:
+            break
+        yield word + text[at:cut], len(word)
+        held = text[at:cut].rstrip(" ")
+        word, at = held[held.rfind(" ") + 1 :] or word, cut
+    yield word + text[at:], len(word)
+
+
+def _groups(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+    """Pieces of texts, about CHUNK characters together: the text of each
+    piece, the piece, and what to skip of it."""
+    whose, held, skip, size = [], [], [], 0
     for k, text in enumerate(texts):
-        for piece in pieces(text, CHUNK):
+        for piece, before in _pieces(text):
             if held and size + len(piece) > CHUNK:
-                yield np.array(whose), held
-                whose, held, size = [], [], 0
+                yield np.array(whose), held, np.array(skip)
+                whose, held, skip, size = [], [], [], 0
             whose.append(k)
             held.append(piece)
+            skip.append(before)
             size += len(piece)
     if held:
-        yield np.array(whose), held
+        yield np.array(whose), held, np.array(skip)
 
 
-def scores(texts: list[bytes], model: Model) -> np.ndarray:
+def scores(texts: list[str], model: Model) -> np.ndarray:
     total, count = np.zeros((2, len(texts))), np.zeros((2, len(texts)))
-    for whose, group in _groups(texts):
-        for kind, (owner, bucket) in enumerate(features(group)):
+    for whose, group, skip in _groups(texts):
+        for kind, (owner, bucket) in enumerate(features(group, skip)):
             np.add.at(total[kind], whose, np.bincount(owner, model.weights[bucket], len(group)))
             np.add.at(count[kind], whose, np.bincount(owner, minlength=len(group)))
     logit = model.bias + (total / np.maximum(count, 1)).sum(axis=0)
@@ -139,10 +176,10 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: i
 STEP_UP = 20.0
 
 
-def _row(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _row(text: str) -> tuple[np.ndarray, np.ndarray]:
     counts = np.zeros((2, BUCKETS))
-    for _, group in _groups([text]):
-        for kind, (_, bucket) in enumerate(features(group)):
+    for _, group, skip in _groups([text]):
+        for kind, (_, bucket) in enumerate(features(group, skip)):
             counts[kind] += np.bincount(bucket, minlength=BUCKETS)
     weight = (counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).sum(axis=0)
     bucket = np.flatnonzero(weight)
@@ -152,15 +189,15 @@ def _row(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``most`` labelled rows, chosen by a hash of the id.
 
-    The driver gets the hashed features of those rows, no texts. A null text
-    counts as empty. Without any labelled row every score is one half.
+    The driver gets the hashed features of those rows, one an id, no texts. A
+    null text counts as empty. Without any labelled row every score is one
+    half.
     """
     arrow_batches(docs.sparkSession)
-    chosen = F.broadcast(sample(labels, label, most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_row(t.as_py() or b"") for t in batch["text"]]
+            rows = [_row(t.as_py()) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"], batch["label"],
@@ -171,12 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = (
-        docs.select("doc_id", F.col("text").cast("binary"))
-        .join(chosen.withColumn("label", F.col("label").cast("int")), "doc_id")
-        .mapInArrow(run, f"doc_id {kind}, label int, bucket array<int>, weight array<float>")
-        .toArrow()
-    )
+    chosen = labelled_texts(docs, labels, label, most).select("doc_id", "text", "label")
+    found = chosen.mapInArrow(run, f"doc_id {kind}, label int, bucket array<int>, weight array<float>").toArrow()
     order = np.argsort(found["doc_id"].to_numpy(), kind="stable")
     bucket, weight = found["bucket"], found["weight"]
     rows = [(bucket[k].values.to_numpy(), weight[k].values.to_numpy()) for k in order.tolist()]
@@ -184,12 +217,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
 
 
 def scorer(spark: SparkSession, model: Model):
-    """A vectorised function from a binary text column to its score."""
+    """A vectorised function from a text column to its score."""
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
-        return pd.Series(scores([bytes(t) if t is not None else b"" for t in text], shared.value))
+        return pd.Series(scores([t or "" for t in text], shared.value))
 
     return score
 
@@ -198,7 +231,7 @@ def scored(docs: DataFrame, model: Model) -> Column:
     """The score column of ``docs`` by its column text; a null text counts as
     empty, and an empty text has the score of the bias alone."""
     arrow_batches(docs.sparkSession)
-    return scorer(docs.sparkSession, model)(F.col("text").cast("binary"))
+    return scorer(docs.sparkSession, model)(F.col("text"))
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
