@@ -3,15 +3,14 @@
 Two zstandard dictionaries are trained, on ordinary and on toxic text. A
 document is cut into windows of WINDOW words, each compressed with both: what
 the toxic dictionary saves over the ordinary one is the window's gain. A
-logistic curve over the largest, mean and typical gains, calibrated on
-labelled rows that the dictionaries did not see, turns gains into a score.
-
-Both dictionaries share the ordinary text, so a window without toxic text
-compresses to the same length with both, give or take an offset; the toxic
-one adds the text that labelled toxic rows have and others lack. Before
-compression, each byte becomes a running checksum of its word: a match can
-only begin where a word begins, and a syllable inside a word is no match for
-a toxic word that begins with it.
+logistic curve over gains, calibrated on labelled rows that the dictionaries
+did not see, turns them into a score.
+
+Toxic documents are ordinary text with toxic stretches. The trainer therefore
+gets the stretches of toxic rows whose byte n-grams are LIFT times as frequent
+there as in ordinary rows, and the toxic dictionary stands behind a copy of
+the ordinary one, so that ordinary text compresses to the same length with
+both, give or take an offset.
 """
 
 from __future__ import annotations
@@ -27,29 +26,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, table
-from .labelled import pieces, remainder, sample
+from .labelled import labelled_texts, remainder
 from .simhash import fingerprint
 
 WINDOW = 8
 LEVEL = 3
-ORDINARY_BYTES = 16384
+ORDINARY_BYTES, TOXIC_BYTES = 16384, 2048
+#: The trainer's lengths of segments, of toxic and of ordinary text, and of n-grams.
+SEGMENT, ORDINARY_SEGMENT, DMER = 24, 256, 8
 #: Most labelled rows that the dictionaries and the curve are fitted on.
 TRAIN_ROWS = 6000
 #: The curve is calibrated on gains of rows that their dictionaries have not
 #: seen: so many times, dictionaries of the other folds measure one fold.
 FOLDS = 3
-#: A word is toxic text if so large a share of the toxic rows (and so many at
-#: least) have it, so many times the share of the other rows.
-SHARE, LEAST, LIFT = 0.015, 3, 20.0
+#: Toxic stretches are covered by byte n-grams of this length that so large a
+#: share of the toxic rows (and so many at least) have, LIFT times the share
+#: of the other rows.
+GRAM, SHARE, LEAST, LIFT = 8, 0.03, 3, 20.0
 #: Texts whose fingerprints differ in so many of 64 bits are near copies.
 COPY_BITS = 12
-#: A window whose gain is so many bytes is a hit.
-HIT = 3
+#: The shares of windows that gain so many bytes are evidence.
+HITS = (2, 3, 4, 5)
+EVIDENCE = 4 + len(HITS)
 THRESHOLD = 0.3
-#: Bytes encoded at a time; a longer text is encoded in pieces.
-CHUNK = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
-GAP = b" "
 SPACES = bytes(32 if b in b"\t\n\v\f\r" else b for b in range(256))
 
 
@@ -63,56 +63,19 @@ class Model:
     scale: np.ndarray
 
 
-def _checksums(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Running word checksums of spaced bytes, and where words begin."""
-    solid = flat != 32
-    begin = np.flatnonzero(solid & ~np.concatenate(([False], solid[:-1])))
-    out = np.full(flat.size, 32, np.uint8)
-    if not begin.size:
-        return out, begin
-    place = np.flatnonzero(solid)
-    word = np.searchsorted(begin, place, "right") - 1
-    position = (place - begin[word]).astype(np.uint64)
-    terms = (flat[place].astype(np.uint64) + np.uint64(1)) * ((position * np.uint64(2) + np.uint64(1)) * MIX)
-    terms ^= terms >> np.uint64(31)
-    sums = np.cumsum(terms * MIX)
-    first = np.searchsorted(place, begin)
-    before = np.where(first > 0, sums[first - 1], np.uint64(0))
-    state = (sums - before[word]) * MIX
-    out[place] = (state >> np.uint64(56)).astype(np.uint8)
-    return out, begin
-
-
-def encode_words(words: list[bytes]) -> bytes:
-    return _checksums(np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8))[0].tobytes()
-
-
-def windows(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """(text number, windows) of each piece of a text: WINDOW words each, the
-    last one the rest. Pieces are encoded CHUNK bytes at a time."""
-    whose, held, size = [], [], 0
-
-    def coded() -> Iterator[tuple[int, list[bytes]]]:
-        flat = np.frombuffer(b"".join(t.lower().translate(SPACES) + GAP for t in held), np.uint8)
-        sums, begin = _checksums(flat)
-        whole = b" " + sums.tobytes()
-        start = np.cumsum([0, *(len(t) + len(GAP) for t in held)])
-        first = np.searchsorted(begin, start)
-        for j, k in enumerate(whose):
-            cuts = begin[first[j] : first[j + 1] : WINDOW].tolist()
-            ends = [*cuts[1:], int(start[j + 1])]
-            yield k, [whole[a : b + 1] for a, b in zip(cuts, ends)]
+def _spaced(text: bytes) -> bytes:
+    """A-Z lower-cased, all white space a space, and a space at either end."""
+    return b" " + text.lower().translate(SPACES) + b" "
 
-    for k, text in enumerate(texts):
-        for piece in pieces(text, CHUNK):
-            if held and size + len(piece) > CHUNK:
-                yield from coded()
-                whose, held, size = [], [], 0
-            whose.append(k)
-            held.append(piece)
-            size += len(piece)
-    if held:
-        yield from coded()
+
+def windows(text: bytes) -> Iterator[bytes]:
+    """WINDOW words each, the last one the rest, with the spaces around them.
+    The text is read whole; one window at a time is in memory beside it."""
+    raw = _spaced(text)
+    solid = np.frombuffer(raw, np.uint8) != 32
+    begin = (np.flatnonzero(solid[1:] & ~solid[:-1])[::WINDOW]).tolist()
+    for a, b in zip(begin, [*begin[1:], len(raw) - 1]):
+        yield raw[a : b + 1]
 
 
 def compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -125,38 +88,70 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def gains(texts: list[bytes], ordinary: bytes, toxic: bytes) -> np.ndarray:
-    """Per text: largest gain, mean of the three largest, mean, share of
-    hits, and log of the number of windows."""
-    out, top = np.zeros((len(texts), 5)), [np.zeros(0, np.int64)] * len(texts)
-    total, hits, count = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    """Per text: largest gain, mean of the three largest, mean, shares of
+    HITS, and log of the number of windows; zeros without windows."""
+    out = np.zeros((len(texts), EVIDENCE))
     plain, other = compressor(ordinary).compress, compressor(toxic).compress
-    for k, cut in windows(texts):
-        gain = np.fromiter((len(plain(w)) - len(other(w)) for w in cut), np.int64, len(cut))
-        top[k] = np.sort(np.concatenate((top[k], gain)))[-3:]
-        total[k] += gain.sum()
-        hits[k] += (gain >= HIT).sum()
-        count[k] += gain.size
-    for k in np.flatnonzero(count):
-        out[k] = top[k][-1], top[k].mean(), total[k] / count[k], hits[k] / count[k], np.log(count[k])
+    for k, text in enumerate(texts):
+        gain = np.fromiter((len(plain(w)) - len(other(w)) for w in windows(text)), np.int32)
+        if gain.size:
+            top = np.sort(np.partition(gain, -3)[-3:] if gain.size > 3 else gain)
+            out[k] = top[-1], top.mean(), gain.mean(), *((gain >= h).mean() for h in HITS), np.log(gain.size)
     return out
 
 
-def train_dictionaries(texts: list[bytes], toxic: np.ndarray) -> tuple[bytes, bytes]:
-    """The ordinary dictionary, and the toxic one, which ends with the text
-    that sets toxic rows apart, the most telling nearest to the end."""
-    plain = [w for k, cut in windows(texts) if not toxic[k] for w in cut]
+def _grams(raw: bytes) -> np.ndarray:
+    """A hash of the GRAM bytes at each place."""
+    if len(raw) < GRAM:
+        return np.zeros(0, np.uint32)
+    words = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), GRAM).copy().view(np.uint64).ravel()
+    return ((words * MIX) >> np.uint64(32)).astype(np.uint32)
+
+
+def _sorted_set(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if values.size else values
+
+
+def _frequency(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams, sorted, and how many of the sets have each."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint32), *sets]), return_counts=True)
+
+
+def stretches(texts: list[bytes], sets: list[np.ndarray], toxic: np.ndarray) -> list[bytes]:
+    """The stretches of toxic rows that set them apart from the other rows;
+    ``sets`` are the n-grams of each text."""
+    n_toxic, n_plain = int(toxic.sum()), int((~toxic).sum())
+    seen, rows = _frequency([s for s, t in zip(sets, toxic) if t])
+    common, others = _frequency([s for s, t in zip(sets, toxic) if not t])
+    at = np.minimum(np.searchsorted(common, seen), max(common.size - 1, 0))
+    other = np.where(common[at] == seen, others[at], 0) if common.size else np.zeros(seen.size)
+    lift = rows / max(1, n_toxic) / ((other + 0.5) / max(1, n_plain))
+    telling = seen[(rows >= max(LEAST, SHARE * n_toxic)) & (lift > LIFT)]
+    out = []
+    for k in np.flatnonzero(toxic).tolist():
+        raw = _spaced(texts[k])
+        start = np.flatnonzero(np.isin(_grams(raw), telling))
+        if start.size:
+            cut = np.flatnonzero(np.diff(start) > GRAM)
+            ends = start[np.append(cut, start.size - 1)] + GRAM
+            out += [raw[a:b] for a, b in zip(start[np.append(0, cut + 1)].tolist(), ends.tolist())]
+    return out
+
+
+def train_dictionaries(texts: list[bytes], sets: list[np.ndarray], toxic: np.ndarray) -> tuple[bytes, bytes]:
+    """The ordinary dictionary, and the toxic one behind a copy of it."""
+    own = stretches(texts, sets, toxic)
+    cut = [w for t, is_toxic in zip(texts, toxic) if not is_toxic for w in windows(t)]
     try:
-        ordinary = zstandard.train_dictionary(ORDINARY_BYTES, plain).as_bytes()
+        ordinary = zstandard.train_dictionary(ORDINARY_BYTES, cut, k=ORDINARY_SEGMENT, d=DMER, steps=1).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
-        ordinary = b"".join(plain)[:ORDINARY_BYTES] or b" "
-    rows = (Counter(), Counter())
-    for text, t in zip(texts, toxic):
-        rows[int(t)].update(set(text.lower().translate(SPACES).split()))
-    n_toxic, n_plain = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    least = max(LEAST, SHARE * n_toxic)
-    lift = {w: n / n_toxic / ((rows[0][w] + 0.5) / n_plain) for w, n in rows[1].items() if n >= least}
-    telling = sorted((w for w, x in lift.items() if x > LIFT), key=lambda w: (rows[1][w] * np.log(lift[w]), w))
-    return ordinary, ordinary + encode_words(telling)
+        ordinary = b"".join(cut)[:ORDINARY_BYTES] or b" "
+    try:
+        trained = zstandard.train_dictionary(TOXIC_BYTES, own, k=SEGMENT, d=DMER, steps=1).as_bytes()
+    except zstandard.ZstdError:  # the same: the most frequent stretches, nearest to the end
+        trained = b"".join(s for s, _ in Counter(own).most_common()[::-1])[-TOXIC_BYTES:]
+    return ordinary, ordinary + trained
 
 
 def calibrate(found: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
@@ -172,8 +167,8 @@ def calibrate(found: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float,
 
 
 def without_copies(texts: list[bytes]) -> np.ndarray:
-    """Which texts have no near copy before them. Words of a passage that was
-    copied often would look as if they set its label apart."""
+    """Which texts have no near copy before them. Stretches of a passage that
+    was copied often would look as if they set its label apart."""
     found = np.array([fingerprint(t)[0] for t in texts], np.uint64)
     kept = np.zeros(len(texts), bool)
     for k in range(len(texts)):
@@ -181,26 +176,35 @@ def without_copies(texts: list[bytes]) -> np.ndarray:
     return kept
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``most`` labelled rows, chosen by a hash of the id; the
-    driver gets their texts. Of near copies among them one counts. A null text
-    counts as empty. Without both labels
-    the score is the share of toxic labels, one half without any."""
-    chosen = F.broadcast(sample(labels, label, most))
-    rows = docs.select("doc_id", F.col("text").cast("binary")).join(chosen, "doc_id").toArrow()
-    order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
-    texts = [rows["text"][k].as_py() or b"" for k in order.tolist()]
-    toxic = rows["label"].to_numpy()[order] == 1
+def train(texts: list[bytes], toxic: np.ndarray) -> Model:
+    """Fit on texts and whether each is toxic. Of near copies one counts.
+    Without both labels the score is the share of toxic texts, one half
+    without any text."""
     alone = without_copies(texts)
     texts, toxic = [t for t, a in zip(texts, alone) if a], toxic[alone]
     if toxic.all() or not toxic.any():
         share = (toxic.sum() + 0.5) / (toxic.size + 1)
-        return Model(b" ", b" ", np.zeros(5), float(np.log(share / (1 - share))), np.zeros(5), np.ones(5))
-    fold, found = np.arange(len(texts)) % FOLDS, np.zeros((len(texts), 5))
+        return Model(b" ", b" ", np.zeros(EVIDENCE), float(np.log(share / (1 - share))), np.zeros(EVIDENCE), np.ones(EVIDENCE))
+    sets = [_sorted_set(_grams(_spaced(t))) for t in texts]
+    fold, found = np.arange(len(texts)) % FOLDS, np.zeros((len(texts), EVIDENCE))
     for k in range(FOLDS):
-        own = train_dictionaries([t for t, f in zip(texts, fold) if f != k], toxic[fold != k])
+        rest = np.flatnonzero(fold != k).tolist()
+        own = train_dictionaries([texts[i] for i in rest], [sets[i] for i in rest], toxic[rest])
         found[fold == k] = gains([t for t, f in zip(texts, fold) if f == k], *own)
-    return Model(*train_dictionaries(texts, toxic), *calibrate(found, toxic))
+    return Model(*train_dictionaries(texts, sets, toxic), *calibrate(found, toxic))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_ROWS) -> Model:
+    """``train`` on at most ``most`` labelled rows, chosen by a hash of the
+    id; the driver gets their texts, one an id."""
+    rows = labelled_texts(docs, labels, label, most).toArrow()
+    order = np.argsort(rows["doc_id"].to_numpy(), kind="stable").tolist()
+    return train([rows["text"][k].as_py().encode() for k in order], rows["label"].to_numpy()[order] == 1)
+
+
+def scores(texts: list[bytes], m: Model) -> np.ndarray:
+    logit = (gains(texts, m.ordinary, m.toxic) - m.center) / m.scale @ m.weights + m.bias
+    return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -214,13 +218,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for batch in batches:
-            found = gains([t.as_py() or b"" for t in batch["text"]], m.ordinary, m.toxic)
-            logit = (found - m.center) / m.scale @ m.weights + m.bias
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(1 / (1 + np.exp(-np.clip(logit, -500, 500))))], ["doc_id", "score"]
-            )
+            found = scores([t.as_py() or b"" for t in batch["text"]], shared.value)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found)], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(run, f"doc_id {kind}, score double")

@@ -6,9 +6,9 @@ import re
 import duckdb
 import numpy as np
 import pytest
+import zstandard
 
 from asofra.llm import fm_index, html_extract, html_labelled, html_tree, language_id, pii, quality, toxicity
-from asofra.llm.labelled import pieces
 from asofra.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -27,12 +27,6 @@ def test_fm_index(seed):
             assert sorted(index.locate(np.arange(low, high)).tolist()) == want
 
 
-def test_pieces():
-    text = b"ab cd " * 30 + b"x" * 50
-    assert b"".join(pieces(text, 16)) == text and max(map(len, pieces(text, 16))) <= 16
-    assert list(pieces(b"", 5)) == [b""]
-
-
 @pytest.fixture(scope="module")
 def tongues(spark):
     rng = random.Random(2)
@@ -91,10 +85,68 @@ def test_quality(spark):
 
 def test_quality_score_does_not_depend_on_the_neighbour():
     model = quality.Model(np.random.default_rng(0).normal(size=quality.BUCKETS), 0.3)
-    for text in (b"", b"lomika", b"a"):
+    for text in ("", "lomika", "a"):
         alone = quality.scores([text], model)[0]
-        assert all(quality.scores([text, n, text], model)[[0, 2]].tolist() == [alone] * 2 for n in (b"", b"kalo mi", b"X!! Y"))
-    assert quality.scores([b"", b"kalo"], model)[0] == 1 / (1 + np.exp(-0.3))
+        assert all(quality.scores([text, n, text], model)[[0, 2]].tolist() == [alone] * 2 for n in ("", "kalo mi", "X!! Y"))
+    assert quality.scores(["", "kalo"], model)[0] == 1 / (1 + np.exp(-0.3))
+
+
+AWKWARD = ["", " ", "a", "\t\n", "the quick  brown\tfox fox fox jumps   over é𝟘 the lazy\ndog " * 6 + "x" * 90 + "  end", "日本 語" * 30]
+
+
+def slow_quality_features(text):
+    """Words and pairs, and n-grams within a word and its spaces, one by one."""
+    mask = (1 << 64) - 1
+    mix = int(quality.MIX)
+
+    def bucket(value, kind):
+        mixed = (value + kind) * mix & mask
+        mixed ^= mixed >> 29
+        return (mixed * mix & mask) >> (64 - quality.BUCKETS_LOG2)
+
+    def word_hash(word):
+        total = 0
+        for k, c in enumerate(word):
+            term = (ord(c) + 1) * ((2 * k + 1) * mix & mask) & mask
+            total += (term ^ term >> 31) * mix
+        return total & mask
+
+    words = [w for w in re.split("[\t-\r ]", text) if w]
+    hashes = [word_hash(w) for w in words]
+    own = [bucket(h, 1) for h in hashes] + [bucket(0 if x == y else (x * 3 + y) & mask, 2) for x, y in zip(hashes, hashes[1:])]
+    grams = []
+    # words one space apart share that space, and each gap has both its ends
+    for n in quality.GRAMS:
+        for word in words:
+            spaced = f" {word} "
+            for k in range(len(spaced) - n + 1):
+                value = 0
+                for c in spaced[k : k + n]:
+                    value = (value * int(quality.CHARACTER) + ord(c)) & mask
+                grams.append(bucket(value, 2 + n))
+    return sorted(own), sorted(grams)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 64, 1 << 18])
+def test_quality_features_against_a_slow_version(monkeypatch, chunk):
+    monkeypatch.setattr(quality, "CHUNK", chunk)
+    for text in AWKWARD:
+        found = [[], []]
+        for _, group, skip in quality._groups([text]):
+            for kind, (_, bucket) in enumerate(quality.features(group, skip)):
+                found[kind] += bucket.tolist()
+        assert tuple(map(sorted, found)) == slow_quality_features(text)
+
+
+def test_quality_scores_against_a_slow_version(spark):
+    """The whole query on sf0.001, scored feature by feature."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels.where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))
+    got = {r.doc_id: r for r in QUERIES["op4_quality_classifier"](spark, SF).collect()}
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        logit = model.bias + sum(np.mean(model.weights[f]) if f else 0.0 for f in slow_quality_features(text or ""))
+        assert got[doc_id].score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-6)
+        assert got[doc_id].predicted == int(got[doc_id].score >= 0.7)
 
 
 def test_toxicity(spark):
@@ -112,6 +164,82 @@ def test_toxicity(spark):
     assert toxicity.predict(docs, one).where("score >= 0.3").count() == 0
 
 
+def slow_windows(text):
+    """WINDOW words a window, with the white space behind them and a space in front."""
+    spaced = b" " + re.sub(rb"[\t-\r]", b" ", text.lower()) + b" "
+    words = [m.start() for m in re.finditer(rb"[^ ]+", spaced)][:: toxicity.WINDOW]
+    return [spaced[a - 1 : b] for a, b in zip(words, [*words[1:], len(spaced)])]
+
+
+def test_toxicity_windows_against_a_slow_version():
+    for text in [*(t.encode() for t in AWKWARD), b"a " * 100_000, b"x" * 300_000]:
+        assert list(toxicity.windows(text)) == slow_windows(text)
+
+
+def test_toxicity_scores_against_a_slow_version(spark):
+    """The whole query on sf0.001, each window compressed on its own."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))
+    got = {r.doc_id: r for r in QUERIES["op3_toxicity"](spark, SF).collect()}
+
+    def length(window, content):
+        kind = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        form = zstandard.ZstdCompressionParameters.from_level(
+            toxicity.LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0
+        )
+        kind.precompute_compress(compression_params=form)
+        return len(zstandard.ZstdCompressor(dict_data=kind, compression_params=form).compress(window))
+
+    for doc_id, text in docs.select("doc_id", "text").orderBy("doc_id").limit(40).collect():
+        gain = sorted(length(w, model.ordinary) - length(w, model.toxic) for w in slow_windows((text or "").encode()))
+        found = [gain[-1], np.mean(gain[-3:]), np.mean(gain), *(np.mean([g >= h for g in gain]) for h in toxicity.HITS), np.log(len(gain))] if gain else [0.0] * toxicity.EVIDENCE
+        logit = ((np.array(found) - model.center) / model.scale) @ model.weights + model.bias
+        assert got[doc_id].score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-9)
+        assert got[doc_id].predicted == int(got[doc_id].score >= 0.3)
+
+
+def test_toxicity_dictionary_is_trained_on_toxic_stretches():
+    rng = random.Random(5)
+    plain = [" ".join("".join(rng.choices("ka lo mi ta re su".split(), k=3)) for _ in range(60)) for _ in range(60)]
+    toxic = [p.replace(p.split()[9], "dreadfulinsult") for p in plain[:30]]
+    texts, label = [t.encode() for t in toxic + plain[30:]], np.arange(60) < 30
+    sets = [toxicity._sorted_set(toxicity._grams(toxicity._spaced(t))) for t in texts]
+    found = toxicity.stretches(texts, sets, label)
+    assert found and all(b"dreadfulinsult" in s for s in found)
+    ordinary, both = toxicity.train_dictionaries(texts, sets, label)
+    assert both.startswith(ordinary) and b"dreadfulinsult" in both and b"dreadfulinsult" not in ordinary
+
+
+def slow_language(text, model):
+    """Naive Bayes one n-gram at a time."""
+    mask, letters = (1 << 64) - 1, 0
+    folded = []
+    for c in text:
+        letters += c.isalpha()
+        folded.append(ord(c.lower()[0]) if c.isalpha() else 32)
+    total = model.prior.copy()
+    folded += [32] * (2 * language_id.LONGEST)
+    for k in range(len(text) + language_id.LONGEST):
+        value = 0
+        for n in range(language_id.LONGEST):
+            value = (value + folded[k + n] + n + 1) * int(language_id.MIX) & mask
+            total = total + model.log_probs[value >> (64 - language_id.BINS_LOG2)]
+    chance = np.exp(total - total.max())
+    return ("und", 0.0) if not letters else (model.classes[int(total.argmax())], 1 / chance.sum())
+
+
+def test_language_against_a_slow_version(spark):
+    """The whole query on sf0.001, and texts with no letter."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.fit(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0"))
+    got = {r.doc_id: r for r in QUERIES["op1_language_id"](spark, SF).collect()}
+    for doc_id, text in docs.select("doc_id", "text").where("length(text) < 4000").orderBy("doc_id").limit(60).collect():
+        lang, score = slow_language(text or "", model)
+        assert got[doc_id].lang_pred == lang and got[doc_id].score == pytest.approx(score, abs=1e-6)
+    langs, scores = language_id.score(["😀😀", "𝟘𝟙", "12 !", "𐐀a"], model)
+    assert langs[:3] == ["und"] * 3 and langs[3] != "und" and scores[:3].tolist() == [0.0] * 3
+
+
 def gold_text(page):
     tree = html_tree.parse(page)
     labels = html_extract._labels([tree])
