@@ -26,8 +26,8 @@ from .common import arrow_batches, table
 from .html_tree import BLOCK, RAW, Tree, joined, parse
 
 #: Labelled pages that the default model is fitted on.
-LABELLED_PAGES = 600
-STEPS, RATE, RIDGE = 250, 0.08, 1e-3
+LABELLED_PAGES = 300
+STEPS, RATE, RIDGE = 120, 0.08, 1e-3
 SECTIONS = frozenset("nav header footer aside form article main section dialog ins menu".split())
 #: Of numeric evidence: see ``_numbers``.
 NUMBERS = 7

@@ -64,19 +64,27 @@ class Tree:
 def parse(html: str) -> Tree:
     """The tree of a page. Anything is accepted: unclosed and misnested
     elements end where their ancestors do, a stray end tag is ignored, an
-    unfinished tag at the end is dropped."""
+    unfinished tag at the end is dropped. The time is linear in the page."""
     tree = Tree()
     stack = [tree.add(-1, "#root")]
+    #: Where in the stack elements of a name stand, and block elements.
+    places: dict[str, list[int]] = {}
+    blocks = [0]
     at, block, size = 0, 0, len(html)
 
+    def last(names: tuple[str, ...]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def cut(k: int) -> None:
+        for node in stack[k:]:
+            places[tree.tag[node]].pop()
+        while blocks[-1] >= k:
+            blocks.pop()
+        del stack[k:]
+
     def close(names: tuple[str, ...], scope: tuple[str, ...]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            name = tree.tag[stack[k]]
-            if name in names:
-                del stack[k:]
-                return
-            if name in scope:
-                return
+        if (k := last(names)) > last(scope):
+            cut(k)
 
     while at < size:
         token = TOKEN.match(html, at)
@@ -93,13 +101,9 @@ def parse(html: str) -> Tree:
         if name in BLOCK or name == "br":
             block += 1
         if token[1] or token[5]:
-            for k in range(len(stack) - 1, 0, -1):
-                open_ = tree.tag[stack[k]]
-                if open_ == name:
-                    del stack[k:]
-                    break
-                if name not in BLOCK and open_ in BLOCK:
-                    break
+            k = last((name,))
+            if k and (name in BLOCK or k > blocks[-1]):
+                cut(k)
             continue
         if name in CLOSES_P:
             close(("p",), P_SCOPE)
@@ -124,6 +128,9 @@ def parse(html: str) -> Tree:
                 at = TOKEN.match(html, at).end()
             block += name in BLOCK
         elif name not in VOID:
+            places.setdefault(name, []).append(len(stack))
+            if name in BLOCK:
+                blocks.append(len(stack))
             stack.append(node)
     return tree
 

@@ -275,7 +275,7 @@ def test_messages_are_exact():
 def test_parser_accepts_anything():
     tree = html_tree.parse("<p>a<b>b<br>c<p>d&amp;e &#233; <!-- x --><script>if (a<b) '</p>'</script><a href='x>y'>l</a></i></p> <li>1<li>2 < 3 <td")
     assert html_tree.joined(tree, [k for k, t in enumerate(tree.tag) if t == "#text"]) == "ab c d&e é l 1 2 < 3"
-    for page in ("", "<", "<!--", "<p", "</", "<a b='", "<script>", "&#x", "<" * 50, "<div>" * 3000):
+    for page in ("", "<", "<!--", "<p", "</", "<a b='", "<script>", "&#x", "<" * 50, "<div>" * 3000, "<b>" * 50_000 + "</i>" * 50_000, "<li>" * 50_000):
         html_tree.parse(page)
     assert html_extract.extract(["", "<div>" * 300, "plain"], html_extract.default_model())[0] == ""
 
