@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.storage import dropped, new_path, written
 
-__all__ = ["arrow_batches", "ascii_lower", "dropped", "join_groups", "new_path", "table", "written"]
+__all__ = ["arrow_batches", "ascii_lower", "dropped", "free_names", "join_groups", "new_path", "table", "without_rows", "written"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -21,6 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows of ``gone`` (doc_id, text_id), text_id being
+    xxhash64 of the text. Where ``gone``, which is written first, is small by
+    Spark's own measure it is broadcast and no text moves."""
+    doc_id, text_id = free_names(docs, "_gone_id", "_gone_text")
+    found = written(gone.select(F.col("doc_id").alias(doc_id), F.col("text_id").alias(text_id)).distinct(), "gone")
+    match = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_id))
+    return docs.join(found, match, "left_anti")
+
+
 def arrow_batches(spark: SparkSession, rows: int = 1000, megabytes: int = 16) -> None:
     """Bound the batches that go to Python by rows and by bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, join_groups, table, written
+from .common import arrow_batches, join_groups, table, without_rows, written
 from .components import components
 
 WORDS = 4
@@ -410,12 +410,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Rows with equal doc_id and equal text stay or go together; a document
     without an id stays only in a group without any.
     """
-    found = near_copies(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept_id"), "text_id"
-    )
-    match = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("text_id"))
-    return docs.join(kept, match, "left_semi")
+    return without_rows(docs, near_copies(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
