@@ -3,27 +3,39 @@
 Three filters, each cheaper than the next: rows whose byte length nobody
 shares are unique; of the rest, rows whose (length, prefix hash) nobody shares
 are unique; only what survives both has its full content hashed and grouped.
-The first two filters reach the next scan as tables of at most BUCKETS
-buckets, so their broadcast is bounded. A bucket may hold several keys: it
-then lets a unique row through, which the full hash settles.
+The first two filters reach the next scan as bitmaps of BUCKETS buckets, 64 a
+row, so their broadcast is bounded. A bucket may hold several keys: it then
+lets a unique row through, which the full hash settles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, join_groups, table, written
+from .common import ascii_lower, join_groups, table, without_rows, written
 
-#: Most rows in a broadcast filter.
-BUCKETS = 1 << 18
+#: Buckets of a broadcast filter: 64 in a row, so 2^18 rows at most.
+BUCKETS = 1 << 24
 PREFIX_CHARS = 64
 
 
-def _shared(keyed: DataFrame, keys: list[str], bucket: str) -> DataFrame:
-    """The buckets that hold a key of two rows or more: at most BUCKETS."""
-    twice = keyed.groupBy(*keys).count().where("count > 1")
-    return twice.select(F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias(bucket)).distinct()
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _shared(keyed: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The buckets that hold a key of two rows or more, as a bitmap."""
+    twice = keyed.groupBy(*keys).count().where("count > 1").select(_bucket(keys).alias("_b"))
+    bits = F.bit_or(F.expr("shiftleft(1L, _b % 64)")).alias(f"{name}_bits")
+    return F.broadcast(twice.groupBy(F.expr("_b div 64").cast("int").alias(f"{name}_row")).agg(bits))
+
+
+def _marked(rows: DataFrame, keys: list[str], shared: DataFrame, name: str, known: Column) -> DataFrame:
+    """Add ``name``: whether the row's bucket is shared, false unless ``known``."""
+    placed = rows.withColumn(f"{name}_b", F.when(known, _bucket(keys))).withColumn(f"{name}_row", F.expr(f"cast({name}_b div 64 as int)"))
+    hit = F.coalesce(F.expr(f"getbit({name}_bits, {name}_b % 64) = 1"), F.lit(False))
+    return placed.join(shared, f"{name}_row", "left").withColumn(name, hit).drop(f"{name}_row", f"{name}_b", f"{name}_bits")
 
 
 def refine(docs: DataFrame, digest_unique: bool = False) -> DataFrame:
@@ -39,30 +51,24 @@ def refine(docs: DataFrame, digest_unique: bool = False) -> DataFrame:
     another; a group of null ids keeps null. An empty table gives no rows.
     Columns besides doc_id and text are ignored.
     """
-    raw = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_text")).withColumn(
+    return _refined(docs, digest_unique).drop("text_id")
+
+
+def _refined(docs: DataFrame, digest_unique: bool = False) -> DataFrame:
+    """``refine`` with text_id, the xxhash64 of the text as it is."""
+    raw = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.coalesce("text", F.lit("")).alias("_text")).withColumn(
         "_len", F.octet_length("_text")
     )
-    by_length = F.broadcast(_shared(raw, ["_len"], "_bucket1"))
-    prefixed = (
-        raw.withColumn("_bucket1", F.pmod(F.xxhash64("_len"), F.lit(BUCKETS)).cast("int"))
-        .join(by_length.withColumn("_in1", F.lit(True)), "_bucket1", "left")
-        .withColumn(
-            "_prefix",
-            F.when(F.col("_in1"), F.xxhash64(ascii_lower(F.substring("_text", 1, PREFIX_CHARS)))),
-        )
+    same_length = _marked(raw, ["_len"], _shared(raw, ["_len"], "_in1"), "_in1", F.lit(True))
+    prefixed = same_length.withColumn(
+        "_prefix", F.when(F.col("_in1"), F.xxhash64(ascii_lower(F.substring("_text", 1, PREFIX_CHARS))))
     )
-    by_prefix = F.broadcast(_shared(prefixed.where("_in1"), ["_len", "_prefix"], "_bucket2"))
+    keys = ["_len", "_prefix"]
+    same_prefix = _marked(prefixed, keys, _shared(prefixed.where("_in1"), keys, "_in2"), "_in2", F.col("_in1"))
     full = F.sha2(F.encode(ascii_lower(F.col("_text")), "UTF-8"), 256)
-    hashed = (
-        prefixed.withColumn(
-            "_bucket2", F.when(F.col("_in1"), F.pmod(F.xxhash64("_len", "_prefix"), F.lit(BUCKETS)).cast("int"))
-        )
-        .join(by_prefix.withColumn("_in2", F.lit(True)), "_bucket2", "left")
-        .select(
-            "doc_id",
-            F.coalesce("_in2", F.lit(False)).alias("_survives"),
-            (full if digest_unique else F.when(F.col("_in2"), full)).alias("text_sha256"),
-        )
+    hashed = same_prefix.select(
+        "doc_id", "text_id", F.col("_in2").alias("_survives"),
+        (full if digest_unique else F.when(F.col("_in2"), full)).alias("text_sha256"),
     )
     signed = written(hashed, "exact-dedup")
     left = signed.where("_survives")
@@ -73,7 +79,7 @@ def refine(docs: DataFrame, digest_unique: bool = False) -> DataFrame:
     grouped = join_groups(left, groups, ["text_sha256"], "group_size")
     unique = signed.where("not _survives").select("*", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     return unique.unionByName(grouped).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
+        "doc_id", "text_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
 
@@ -81,16 +87,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``refine`` keeps, with all their columns.
 
     Rows with equal doc_id and equal text all stay or all go. Rows with equal
-    doc_id and different texts are told apart by the digest of the text.
+    doc_id and different texts are told apart by a hash of the text. Only the
+    rows that go are joined with the texts.
     """
-    gone = refine(docs).where("not kept").select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha")
-    )
-    keyed = docs.withColumn(
-        "_sha", F.sha2(F.encode(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), "UTF-8"), 256)
-    )
-    match = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_sha") == F.col("_gone_sha"))
-    return keyed.join(gone, match, "left_anti").select(*docs.columns)
+    return without_rows(docs, _refined(docs).where("not kept"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
