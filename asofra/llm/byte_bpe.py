@@ -28,12 +28,16 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import arrow_batches, table
 
 BLOCK_BYTES = 4 << 20
 #: Positions put together at a time.
 CHUNK = 1 << 18
+#: Distinct words that a task remembers; beyond, it begins anew and encodes a
+#: word again that it has forgotten.
+MOST_KNOWN = 1 << 20
 #: Word buckets per shuffle partition.
 SPREAD = 4
 
@@ -65,7 +69,8 @@ def _unpack(packed: bytes) -> tuple[list[np.ndarray], bytes]:
 
 def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[str, dict[str, int], list, list]]:
     """(name, distinct words in order, doc_ids, word numbers per document)."""
-    find = regex.compile(pattern).findall
+    compiled = regex.compile(pattern)
+    find, each = compiled.findall, compiled.finditer
     context = TaskContext.get()
     place = context.partitionId() if context else 0
     seen, count = xxhash.xxh3_64(), 0
@@ -84,8 +89,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[s
                 seen, count = xxhash.xxh3_64(), count + 1
                 words = {}
                 ids, numbers, size = [], [], 0
-            found = find(text)
-            numbers.append(np.fromiter(map(number, found), np.int32, len(found)))
+            # the matches of a long text one by one
+            found = find(text) if len(raw) < BLOCK_BYTES else (m[0] for m in each(text))
+            numbers.append(np.fromiter(map(number, found), np.int32))
             ids.append(doc_id)
             size += len(raw)
             seen.update(len(raw).to_bytes(8, "little") + raw)
@@ -110,8 +116,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool
     Each match of ``pattern`` is merged by ``ranks`` separately, without
     special tokens. A null or empty text has no ids. Rows repeated under one
     doc_id give a row each; a null doc_id stays null. An empty table gives no
-    rows. Columns besides doc_id and text are ignored. A word of any length
-    is encoded whole.
+    rows. Columns besides doc_id and text are ignored; doc_id may have any
+    type. A word of any length is encoded whole; a text may have as many ids
+    as an Arrow list (2^31).
     """
     spark = docs.sparkSession
     arrow_batches(spark)
@@ -155,6 +162,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool
                     word = blob[a:b]
                     ids = known.get(word)
                     if ids is None:
+                        if len(known) >= MOST_KNOWN:
+                            known.clear()
                         ids = known[word] = core.encode_single_piece(word)
                     found.append(ids)
                 counts = np.fromiter(map(len, found), np.int32, len(found))
@@ -192,7 +201,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool
         out = {"doc_id": left["doc_ids"].combine_chunks().flatten(), "ids": lists}
         return pa.table(out | ({"decoded": TokenBytes(shared.value[0]).decode(lists)} if decoded else {}))
 
-    batches_kind = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+    batches_kind = to_arrow_type(docs.schema["doc_id"].dataType)
     base = docs.select("doc_id", "text")
     by_word = base.mapInArrow(words, "block string, bucket int, words binary").repartition(parts, "bucket")
     sent_back = by_word.mapInArrow(encoded, "block string, ids binary")
