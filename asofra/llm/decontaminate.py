@@ -215,11 +215,15 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordB
 
 def _scan(texts: list[list[bytes]], shared: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[set[str]]]:
     """Merged spans (first, end, doc) of a shard, and the items of each row;
-    the blocks of the benchmark are loaded one after the other."""
+    the blocks of the benchmark are loaded one after the other, and only one
+    is in memory."""
     doc, first, end = (np.zeros(0, np.int64) for _ in range(3))
     items: list[set[str]] = [set() for _ in texts]
     for part in shared:
         block = part.value
+        if len(shared) > 1:
+            # the worker would keep every block it has read; the file stays
+            part.__dict__.pop("_value", None)
         d, f, e, owner = shard_hits(texts, block)
         for a, b in np.unique(np.stack((d, owner), 1), axis=0).tolist():
             items[a].add(str(block.items[b]))
