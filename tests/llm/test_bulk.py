@@ -9,10 +9,13 @@ import re
 import pytest
 import xxhash
 
-from asofra.llm import byte_bpe, decontaminate, exact_dedup, simhash, warc
+from asofra.llm import byte_bpe, decontaminate, exact_dedup, pii, simhash, warc
+from asofra.llm import components as connected
 from asofra.llm.components import components
 
-DOCS = "doc_id long, text string, lang string, digest string, _len int, row int, spans string"
+#: Extra columns with names that the operators use themselves.
+EXTRA = ["lang", "digest", "_len", "row", "spans", "text_id", "_kept_id", "_gone_id", "_gone_text", "_sha", "_row", "_spans", "component_id", "node", "_SALT"]
+DOCS = "doc_id long, text string, " + ", ".join(f"{c} string" for c in EXTRA)
 
 
 def corpus():
@@ -21,8 +24,8 @@ def corpus():
     texts = [" ".join(rng.choices(words, k=rng.randint(1, 60))) for _ in range(60)]
     texts += [None, "", " ", "\n\t", "A", "a", "é", "É", texts[0], texts[0].upper(), texts[1] + "!", "x" * 5000]
     texts += [" ".join(rng.choices(words, k=4000)), texts[3], texts[3]]
-    rows = [(k, t, "en", "d", 1, 2, "s") for k, t in enumerate(texts)]
-    return rows + [rows[3], (None, "no id", None, None, None, None, None), (None, "cat", None, None, None, None, None)]
+    rows = [(k, t, *(f"{c}{k}" for c in EXTRA)) for k, t in enumerate(texts)]
+    return rows + [rows[3], (None, "no id", *[None] * len(EXTRA)), (None, "cat", *[None] * len(EXTRA))]
 
 
 @pytest.fixture(scope="module")
@@ -200,6 +203,31 @@ def test_near_copies_are_those_of_similarity_0_8(spark, monkeypatch, block):
 
 
 
+def test_deduplicated_rows_keep_every_column(spark, docs):
+    """Columns named like the operators' own come back as they were."""
+    rows = {tuple(r) for r in docs.collect()}
+    for operator in (exact_dedup.deduplicate, simhash.deduplicate):
+        kept = operator(docs)
+        assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= rows
+    at = docs.columns.index("text")
+    clean = [tuple(r) for r in pii.sanitise(docs).collect()]
+    assert key(r[:at] + r[at + 1 :] for r in clean) == key(tuple(r)[:at] + tuple(r)[at + 1 :] for r in docs.collect())
+
+
+@pytest.mark.parametrize("contracted", [1, 20, 1 << 20])
+def test_components_of_any_size(spark, monkeypatch, contracted):
+    monkeypatch.setattr(connected, "CONTRACTED", contracted)
+    rng = random.Random(contracted)
+    edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(190)] + [(k, k + 1) for k in range(500, 560)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long").repartition(7)).collect()}
+    root = {n: n for e in edges for n in e if e[0] != e[1]}
+    for _ in root:
+        for u, v in edges:
+            if u != v:
+                root[u] = root[v] = min(root[u], root[v])
+    assert got == root
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (5, 5), (None, 1), (2, 1)] + [(100, k) for k in range(101, 180)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -276,6 +304,11 @@ def test_byte_bpe(spark, docs, none, monkeypatch, block):
     fused = byte_bpe.encode(docs, RANKS, PATTERN, decoded=True).collect()
     assert key((r.doc_id, bytes(r.decoded)) for r in fused) == key((r.doc_id, bytes(r.decoded)) for r in back)
     assert byte_bpe.encode(none, RANKS, PATTERN).count() == 0
+    for kind, value in (("smallint", "7"), ("date", "'2024-01-02'"), ("decimal(9,2)", "1.5")):
+        other = docs.selectExpr(f"CAST({value} AS {kind}) AS doc_id", "text")
+        assert key(tuple(r.ids) for r in byte_bpe.encode(other, RANKS, PATTERN).collect()) == key(tuple(i) for _, i in want)
+    monkeypatch.setattr(byte_bpe, "MOST_KNOWN", 3)
+    assert key((r.doc_id, list(r.ids)) for r in byte_bpe.encode(docs, RANKS, PATTERN).collect()) == key(want)
 
 
 def test_byte_bpe_rejects_unknown_ids(spark):
