@@ -75,18 +75,30 @@ def merge_dimension(history: DataFrame, fresh: DataFrame, as_of: Column, compare
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, date: str, tolerance: int, payload: list[str]) -> DataFrame:
-    """For each row of ``left`` the row of ``right`` nearest to the day
-    ``at``, within ``tolerance`` days; of two equally near the earlier.
+    """Each row of ``left`` with the row of ``right`` nearest to the day
+    ``at``, within ``tolerance`` days; of two equally near the earlier, of
+    several on one day the least ``payload``. A null key or day finds none.
 
-    An equi-join on the keys with a band on the days; the pick is a partial
-    aggregate, so it combines before it shuffles.
+    Both sides share a key's time line: the last row before and the first
+    after a day are running picks in two directions, so the work is a shuffle
+    and two sorts, whatever the number of rows of a key.
     """
     own = left.columns
-    other = right.select(*keys, *(F.col(c).alias(f"_r_{c}") for c in dict.fromkeys([date, *payload])))
-    gap = F.abs(F.datediff(F.col(f"_r_{date}"), F.col(at)))
-    pairs = left.join(other, keys, "left").withColumn("_gap", gap)
-    best = F.min(F.when(F.col("_gap") <= tolerance, F.struct("_gap", *(F.col(f"_r_{c}").alias(c) for c in dict.fromkeys([date, *payload])))))
-    return pairs.groupBy(*own).agg(best.alias("_b")).select(*own, *(F.col(f"_b.{c}").alias(f"near_{c}") for c in payload))
+    named = F.struct(F.col(date).alias("_date"), *(F.col(c).alias(f"p{k}") for k, c in enumerate(payload)))
+    known = right.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, date]))
+    days = known.groupBy(*keys, F.col(date).alias("_day")).agg(F.min(named).alias("_row"))
+    asked = left.select(*keys, F.col(at).alias("_day"), F.lit(1).alias("_o"), F.lit(None).alias("_row"), F.struct(*own).alias("_d"))
+    line = days.select(*keys, "_day", F.lit(0).alias("_o"), "_row", F.lit(None).alias("_d")).unionByName(asked)
+
+    def pick(*order: Column) -> Column:
+        by = Window.partitionBy(*keys).orderBy(*order, "_o").rowsBetween(Window.unboundedPreceding, 0)
+        return F.last("_row", ignorenulls=True).over(by)
+
+    met = line.withColumns({"_b": pick(F.col("_day").asc_nulls_first()), "_a": pick(F.col("_day").desc_nulls_last())}).where("_o = 1")
+    before, after = F.datediff("_day", "_b._date"), F.datediff("_a._date", "_day")
+    nearer = F.coalesce(before <= after, before.isNotNull())
+    found = F.when(nearer & (before <= tolerance), F.col("_b")).when(~nearer & (after <= tolerance), F.col("_a"))
+    return met.withColumn("_n", found).select("_d.*", *(F.col(f"_n.p{k}").alias(f"near_{c}") for k, c in enumerate(payload)))
 
 
 def lagged(rows: DataFrame, keys: list[str], date: str, days: Column | int, tolerance: int, payload: list[str]) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,46 +70,74 @@ def melt(rows: DataFrame, ids: list[str], values: Iterable[str]) -> DataFrame:
     return rows.unpivot(ids, list(values), "name", "value")
 
 
-def robust_scores(long: DataFrame, groups: list[str], value: str = "value", least: int = 3, bound: float = 5.0, pool: DataFrame | None = None) -> DataFrame:
+def robust_scores(long: DataFrame, groups: list[str], value: str = "value", least: int = 3, bound: float = 5.0, calibration: DataFrame | None = None) -> DataFrame:
     """Add z: winsorised at the 2.5 and 97.5 percentiles of its group, less
     the median, by the scaled median deviation, within +-bound. Null below
     ``least`` values or without spread.
 
-    ``pool`` calibrates: rows of other times for the same groups, already
-    winsorised. Each stage joins one small row per group back.
+    ``calibration`` (groups, _med, _mad, _m) takes the place of the group's
+    own median, median deviation and count. Each stage joins one small row
+    per group back.
     """
-    ends = long.groupBy(*groups).agg(
-        F.percentile(value, F.array(F.lit(0.025), F.lit(0.975))).alias("_q"), F.count(value).alias("_n")
-    )
-    clipped = long.join(ends, groups, "left").withColumn("_w", clip(F.col(value), F.col("_q")[0], F.col("_q")[1]))
-    calibration = pool if pool is not None else clipped.select(*groups, F.col("_w"))
-    middle = calibration.groupBy(*groups).agg(F.percentile("_w", 0.5).alias("_med"), F.count("_w").alias("_m"))
-    spread = calibration.join(middle, groups).groupBy(*groups).agg(F.percentile(F.abs(F.col("_w") - F.col("_med")), 0.5).alias("_mad"))
-    joined = clipped.join(middle, groups, "left").join(spread, groups, "left")
+    clipped = _winsorised(long, groups, value)
+    if calibration is None:
+        middle = clipped.groupBy(*groups).agg(F.percentile("_w", 0.5).alias("_med"), F.count("_w").alias("_m"))
+        far = F.percentile(F.abs(F.col("_w") - F.col("_med")), 0.5).alias("_mad")
+        spread = clipped.select(*groups, "_w").join(middle, groups).groupBy(*groups).agg(far)
+        joined = clipped.join(middle, groups, "left").join(spread, groups, "left")
+    else:
+        joined = clipped.join(calibration, groups, "left")
     scale = F.lit(MAD_SCALE) * F.col("_mad")
     good = (F.col("_n") >= least) & (F.col("_m") >= least) & (scale >= TINY)
     z = clip((F.col("_w") - F.col("_med")) / scale, -bound, bound)
-    return joined.withColumn("z", F.when(good, z)).drop("_q", "_n", "_w", "_med", "_m", "_mad")
+    return joined.withColumn("z", F.when(good, z)).drop("_n", "_w", "_med", "_m", "_mad")
 
 
-def pooled_calibration(long: DataFrame, snapshot: str, groups: list[str], value: str = "value", least: int = 3) -> DataFrame:
-    """For each snapshot, the values of it and all before it, each snapshot
-    winsorised by its own percentiles and skipped below ``least`` values.
+def _winsorised(long: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Add _w, the value within its group's percentiles, and _n."""
+    ends = long.groupBy(*groups).agg(
+        F.percentile(value, F.array(F.lit(0.025), F.lit(0.975))).alias("_q"), F.count(value).alias("_n")
+    )
+    return long.join(ends, groups, "left").withColumn("_w", clip(F.col(value), F.col("_q")[0], F.col("_q")[1])).drop("_q")
 
-    Each value meets every later snapshot, as the deviations from a moving
-    median must be taken anew; snapshots are bounded by the calendar.
+
+def pooled_statistics(long: DataFrame, snapshot: str, groups: list[str], value: str = "value", least: int = 3) -> DataFrame:
+    """(snapshot, groups, _med, _mad, _m) of the values of each snapshot and
+    all before it, each snapshot winsorised by its own percentiles and skipped
+    below ``least`` values.
+
+    A group (an indicator) is one task's: its values merge snapshot by
+    snapshot into one sorted array, from which each statistic is read. Values
+    move once, none is copied to later snapshots. The array has eight bytes a
+    value; a group is bounded by companies times snapshots.
     """
     own = [snapshot, *groups]
-    ends = long.groupBy(*own).agg(F.percentile(value, F.array(F.lit(0.025), F.lit(0.975))).alias("_q"), F.count(value).alias("_n"))
-    clipped = long.join(ends.where(F.col("_n") >= least), own).select(
-        F.col(snapshot).alias("_past"), *groups, clip(F.col(value), F.col("_q")[0], F.col("_q")[1]).alias("_w")
-    )
-    times = long.select(snapshot).distinct()
-    return clipped.join(F.broadcast(times), F.col("_past") <= F.col(snapshot)).drop("_past")
+    clipped = _winsorised(long.select(*own, value), own, value)
+    usable = F.when(F.col("_n") >= least, F.col("_w")).alias("_w")
+    schema = long.select(*own).schema.add("_med", "double").add("_mad", "double").add("_m", "long")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by(snapshot)
+        times = table[snapshot].combine_chunks()
+        starts = np.flatnonzero(np.concatenate(([True], pc.not_equal(times[1:], times[:-1]).to_numpy(zero_copy_only=False))))
+        values = table["_w"].to_numpy()
+        pool, found = np.zeros(0), []
+        for a, b in zip(starts, np.append(starts[1:], len(times))):
+            new = np.sort(values[a:b][~np.isnan(values[a:b])])
+            pool = np.insert(pool, np.searchsorted(pool, new), new)
+            middle = float(np.median(pool)) if pool.size else None
+            found.append((middle, float(np.median(np.abs(pool - middle))) if pool.size else None, pool.size))
+        rows = table.select(own).take(pa.array(starts))
+        for name, column, kind in zip(("_med", "_mad", "_m"), zip(*found), (pa.float64(), pa.float64(), pa.int64())):
+            rows = rows.append_column(name, pa.array(column, kind))
+        return rows
+
+    return clipped.where(F.col(snapshot).isNotNull()).select(*own, usable).groupBy(*groups).applyInArrow(run, schema)
 
 
 def expanding_scores(long: DataFrame, snapshot: str, groups: list[str], value: str = "value") -> DataFrame:
-    return robust_scores(long, [snapshot, *groups], value, pool=pooled_calibration(long, snapshot, groups, value))
+    pooled = pooled_statistics(long, snapshot, groups, value)
+    return robust_scores(long, [snapshot, *groups], value, calibration=pooled)
 
 
 def sector_scores(long: DataFrame, groups: list[str], value: str = "value", least: int = 5, bound: float = 3.0) -> DataFrame:
@@ -139,21 +170,57 @@ def medians(rows: DataFrame, values: list[str], groups: list[str], date: str, ke
     return rows.join(enough, date, "left_semi").groupBy(*groups).agg(*(F.percentile(v, 0.5).alias(v) for v in values))
 
 
+#: Of the mean square about a key's mean; a frame's variance below is none.
+ROUNDING = 1e-11
+
+
 def rolling_scores(rows: DataFrame, keys: list[str], date: str, value: str, window: int = 1260, least: int = 252, bound: float = 3.0) -> DataFrame:
     """Add z by trailing rows only: limited to mean +- 3 deviations of the
     last ``window`` rows, then by the moments of such values. Null for a null
-    value, below ``least`` values in the frame, or without spread."""
-    frame = Window.partitionBy(*keys).orderBy(date).rowsBetween(-(window - 1), 0)
+    value, below ``least`` values in the frame, or without spread.
 
-    def moments(c: str) -> tuple[Column, Column, Column]:
-        n = F.count(c).over(frame)
-        return F.avg(c).over(frame), F.when(n == 1, 0.0).otherwise(F.stddev_samp(c).over(frame)), n
-
-    mean, sd, _ = moments(value)
-    out = rows.withColumns({"_mean": mean, "_sd": sd})
+    Moments come from running sums and those ``window`` rows before, so a row
+    costs the same whatever the window. Sums are taken about the key's first
+    value, which keeps them small.
+    """
+    order = Window.partitionBy(*keys).orderBy(date)
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+
+    def with_moments(frame: DataFrame, c: str) -> DataFrame:
+        x = F.col(c) - F.col("_origin")
+        sums = {"_s0": F.count(x).over(so_far), "_s1": F.coalesce(F.sum(x).over(so_far), F.lit(0.0)), "_s2": F.coalesce(F.sum(x * x).over(so_far), F.lit(0.0))}
+        frame = frame.withColumns(sums)
+        frame = frame.withColumns({f"_d{k}": F.col(f"_s{k}") - F.coalesce(F.lag(f"_s{k}", window).over(order), F.lit(0)) for k in range(3)})
+        n, s1, s2 = F.col("_d0"), F.col("_d1"), F.col("_d2")
+        square = s2 - s1 * s1 / n
+        spread = F.when(n == 1, 0.0).when((n > 1) & (square > ROUNDING * F.col("_s2")), F.sqrt(square / (n - 1))).when(n > 1, 0.0)
+        return frame.withColumns({"_mean": F.when(n > 0, F.col("_origin") + s1 / n), "_sd": spread, "_n": n}).drop(*(f"_{p}{k}" for p in "sd" for k in range(3)))
+
+    out = with_moments(rows.withColumn("_origin", F.first(value, ignorenulls=True).over(order)), value)
     limited = F.when(F.col("_sd") > 0, clip(F.col(value), F.col("_mean") - 3 * F.col("_sd"), F.col("_mean") + 3 * F.col("_sd"))).otherwise(F.col(value))
-    mean, sd, n = moments("_w")
-    out = out.withColumn("_w", limited).withColumns({"_m2": mean, "_s2": sd, "_n2": n})
-    good = F.col(value).isNotNull() & (F.col("_n2") >= least) & (F.col("_s2") >= TINY)
-    z = clip((F.col("_w") - F.col("_m2")) / F.col("_s2"), -bound, bound)
-    return out.withColumn("z", F.when(good, z)).drop("_mean", "_sd", "_w", "_m2", "_s2", "_n2")
+    out = with_moments(out.withColumn("_w", limited), "_w")
+    good = F.col(value).isNotNull() & (F.col("_n") >= least) & (F.col("_sd") >= TINY)
+    z = clip((F.col("_w") - F.col("_mean")) / F.col("_sd"), -bound, bound)
+    return out.withColumn("z", F.when(good, z)).drop("_mean", "_sd", "_n", "_w", "_origin")
+
+
+def top(rows: DataFrame, by: str, n: int, *ties: str) -> DataFrame:
+    """The ``n`` rows with the greatest values; each task keeps its own n."""
+    return rows.orderBy(F.col(by).desc(), *ties).limit(n)
+
+
+def above_quantile(rows: DataFrame, value: str, q: float, groups: list[str]) -> DataFrame:
+    """The rows at or above their group's quantile."""
+    cut = rows.groupBy(*groups).agg(F.percentile(value, q).alias("_cut"))
+    return rows.join(cut, groups).where(F.col(value) >= F.col("_cut")).drop("_cut")
+
+
+def profile(rows: DataFrame, values: list[str], groups: list[str]) -> DataFrame:
+    """(groups, medians, n): what is usual in each group."""
+    return rows.groupBy(*groups).agg(*(F.percentile(v, 0.5).alias(v) for v in values), F.count("*").alias("n"))
+
+
+def last_rows(rows: DataFrame, keys: list[str], date: str, n: int) -> DataFrame:
+    """The last ``n`` rows of each key by date."""
+    order = Window.partitionBy(*keys).orderBy(F.col(date).desc())
+    return rows.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n).drop("_rn")

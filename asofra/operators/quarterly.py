@@ -64,7 +64,7 @@ def quarter_layer(facts: DataFrame, split_table: DataFrame, companies: DataFrame
     """
     keys = ["ticker", "as_of"]
     targets = quarter_filings(facts) if targets is None else targets
-    spans = vintages.view_intervals(facts)
+    spans = vintages.view_intervals(vintages.without_deprecated(facts))
     holds = (F.col("known_from") <= F.col("as_of")) & (F.col("known_to").isNull() | (F.col("as_of") < F.col("known_to")))
     view = written(spans.join(targets.select(*keys).distinct(), "ticker").where(holds).drop("known_from", "known_to"), "quarter-view")
     sheet = written(vintages.pivot(view, CONCEPTS, keys).where(vintages.dense(CONCEPTS)), "quarter-sheet").withColumnRenamed("period_type", "quarter")

@@ -23,9 +23,12 @@ def resolve_ciks(roster: DataFrame, *sources: DataFrame) -> DataFrame:
     return out.withColumn("cik", F.coalesce(*found)).drop(*(f"_cik{k}" for k in range(len(sources))))
 
 
-def with_overrides(base: DataFrame, overrides: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def with_overrides(base: DataFrame, overrides: DataFrame, key: str, columns: list[str], order: str | None = None) -> DataFrame:
     """Replace ``columns`` where ``overrides`` has the key, and add the keys
-    that only it has. Of repeated overrides the last in order wins."""
+    that only it has. Of repeated overrides the one with the greatest
+    ``order`` wins, or, without it, the one with the greatest columns."""
+    last = F.max(F.struct(*([order] if order else []), *columns)).alias("_o")
+    overrides = overrides.groupBy(key).agg(last).select(key, *(F.col(f"_o.{c}").alias(c) for c in columns))
     named = overrides.select(key, *(F.col(c).alias(f"_{c}") for c in columns))
     changed = base.join(named, key, "left").withColumns({c: F.coalesce(f"_{c}", c) for c in columns}).drop(*(f"_{c}" for c in columns))
     missing = overrides.join(base.select(key), key, "left_anti").select(key, *columns)
@@ -85,23 +88,38 @@ def modal(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     return counts.withColumn("_rn", F.row_number().over(by)).where("_rn = 1").select(*keys, value, F.col("count").alias("n"))
 
 
-def canonical_class(member: Column) -> Column:
-    """``Class A`` or ``Series B`` from a class member name; a preferred or
-    other member has none."""
-    plain = F.regexp_replace(member, r"^.*:", "")
-    found = F.regexp_extract(plain, r"(Class|Series)([A-Z])(?![a-z])", 0)
-    return F.when(~plain.contains("Preferred") & (found != ""), F.regexp_replace(found, r"([A-Z])$", " $1"))
+def canonical_class(member: Column, member_map: dict[str, str] | None = None) -> Column:
+    """``A`` from a member name like ``x:CommonClassAMember``. A name that a
+    pattern of ``member_map`` fits is what that says, in its order; a
+    preferred class is none; another name stands for itself."""
+    local = F.regexp_replace(member, "^[^:]*:", "")
+    letter = F.regexp_extract(local, "(Class|Series)([A-Z])(?![a-z])", 2)
+    out = F.when(local.contains("Preferred"), F.lit(None).cast("string"))
+    for pattern, name in (member_map or {}).items():
+        out = out.when(local.rlike(pattern), name)
+    return out.when(letter != "", letter).otherwise(local)
 
 
-def class_conversions(eps: DataFrame, least: float = 0.05) -> DataFrame:
+def class_conversions(eps: DataFrame, least: float = 0.05, fallback: DataFrame | None = None) -> DataFrame:
     """(ticker, share_class, conversion): the median over periods of a class's
     earnings per share over those of the priced class, where the latter is
-    not too small."""
-    other = eps.where("NOT priced").join(
-        eps.where("priced").select("ticker", "period_start", "period_end", F.col("value").alias("_priced")), ["ticker", "period_start", "period_end"]
+    not too small. Where ``eps`` has a column diluted, basic earnings come
+    first and diluted ones where a class has no basic ratio; last comes
+    ``fallback`` (ticker, share_class, conversion)."""
+    keys = ["ticker", "period_start", "period_end"]
+    rows = eps if "diluted" in eps.columns else eps.withColumn("diluted", F.lit(False))
+    other = rows.where("NOT priced").join(
+        rows.where("priced").select(*keys, "diluted", F.col("value").alias("_priced")), [*keys, "diluted"]
     )
     ratio = other.where(F.abs("_priced") >= least).withColumn("_r", F.col("value") / F.col("_priced"))
-    return ratio.groupBy("ticker", "share_class").agg(F.percentile("_r", 0.5).alias("conversion"))
+    agg = ratio.groupBy("ticker", "share_class").agg(
+        F.percentile(F.when(~F.col("diluted"), F.col("_r")), 0.5).alias("_basic"), F.percentile(F.when(F.col("diluted"), F.col("_r")), 0.5).alias("_diluted")
+    )
+    found = agg.select("ticker", "share_class", F.coalesce("_basic", "_diluted").alias("conversion"))
+    if fallback is None:
+        return found
+    missing = fallback.select("ticker", "share_class", "conversion").join(found.where("conversion IS NOT NULL"), ["ticker", "share_class"], "left_anti")
+    return found.where("conversion IS NOT NULL").unionByName(missing)
 
 
 def class_shares(counts: DataFrame, conversions: DataFrame) -> DataFrame:
@@ -118,6 +136,28 @@ def class_shares(counts: DataFrame, conversions: DataFrame) -> DataFrame:
     return agg.select("ticker", "accession", "period_end", F.when(F.col("_bad") == 0, F.col("_s")).alias("shares"), "n_classes")
 
 
+def chosen_counts(cover: DataFrame, sheet: DataFrame) -> DataFrame:
+    """Per ticker and accession the class counts of the cover page or of the
+    balance sheet (both as for ``class_shares``): the one with more classes,
+    the cover where they have as many; ``source`` tells which."""
+    size = lambda rows, name: rows.groupBy("ticker", "accession").agg(F.countDistinct("share_class").alias(name))
+    both = size(cover, "_c").join(size(sheet, "_s"), ["ticker", "accession"], "full_outer")
+    better = F.coalesce(F.col("_c"), F.lit(0)) >= F.coalesce(F.col("_s"), F.lit(0))
+    picked = both.select("ticker", "accession", F.when(better, "cover").otherwise("sheet").alias("source"))
+    rows = cover.withColumn("source", F.lit("cover")).unionByName(sheet.withColumn("source", F.lit("sheet")))
+    return rows.join(picked, ["ticker", "accession", "source"], "left_semi")
+
+
+def class_earnings(eps: DataFrame) -> DataFrame:
+    """(ticker, period_start, period_end, value, source): earnings per share
+    of the priced class, the first there is of: basic and diluted in one,
+    diluted, basic."""
+    ladder = F.when(F.col("kind") == "both", 0).when(F.col("kind") == "diluted", 1).otherwise(2)
+    best = F.min(F.struct(ladder.alias("rank"), F.col("value").alias("value"), F.col("kind").alias("source"))).alias("_b")
+    rows = eps.where("priced AND value IS NOT NULL").groupBy("ticker", "period_start", "period_end").agg(best)
+    return rows.select("ticker", "period_start", "period_end", "_b.value", "_b.source")
+
+
 def merge_synthetic(organic: DataFrame, synthetic: DataFrame) -> DataFrame:
     """Replace a concept's own rows by synthetic ones within the days these
     span; without synthetic rows nothing changes."""

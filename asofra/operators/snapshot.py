@@ -16,6 +16,7 @@ from ..functions.kernel import growth, guarded
 from ..functions.storage import written
 from . import asof, cross_section, periods, splits, vintages
 from .indicators import CONCEPTS, derived, formulas, masked, statutory_rate
+from .universe import universe_at
 
 LAG_PREFIX = {1: "p_", 2: "l2_", 3: "l3_", 4: "l4_", 5: "l5_"}
 YEAR = 365.25
@@ -216,16 +217,29 @@ def indicator_rows(wide: DataFrame, keep: Iterable[str], sector: str | None = "s
     return priced.select(*keep, *(made[n].alias(n) for n in made), *lags)
 
 
+def assemble_universe(facts: DataFrame, prices: DataFrame, split_table: DataFrame, members: DataFrame, history: DataFrame, dates: DataFrame) -> DataFrame:
+    """``assemble`` for the members of each date, with the sector and
+    industry that were valid then."""
+    there = written(universe_at(members, history, dates), "universe")
+    own = facts.join(there.select("ticker").distinct(), "ticker", "left_semi")
+    return assemble(own, prices, split_table, there, dates)
+
+
 def assemble(facts: DataFrame, prices: DataFrame, split_table: DataFrame, companies: DataFrame, dates: DataFrame) -> DataFrame:
     """Point-in-time indicator rows for every (ticker, as_of) of the dates.
 
-    Facts filed by each date are resolved to one view, the newest annual
-    filing is the year, and its price is that of the filing day as traded.
-    Dates are few and bounded by the calendar, so they are broadcast.
+    ``companies`` (ticker, sector, industry) may have as_of as well: then it
+    says who belongs to a date, and with which labels.
+    Vintages are compressed to the days on which each one wins before they
+    meet the dates, so a date gets the rows of its view and no others. The
+    newest annual filing is the year, and its price is that of the filing day
+    as traded. Dates are snapshot days, bounded by the calendar: they are
+    broadcast. Tags that are no longer mapped do not count.
     """
     keys = ["ticker", "as_of"]
-    known = facts.join(F.broadcast(dates), F.col("filed") <= F.col("as_of"))
-    view = written(vintages.as_of_view(known, F.col("as_of"), keys), "view")
+    spans = vintages.view_intervals(vintages.without_deprecated(facts))
+    holds = (F.col("known_from") <= F.col("as_of")) & (F.col("known_to").isNull() | (F.col("as_of") < F.col("known_to")))
+    view = written(spans.join(F.broadcast(dates), holds).drop("known_from", "known_to"), "view")
     year = vintages.latest_annual(view, keys)
     wide = share_counts(view, written(wide_rows(view, year.select(*keys, "fiscal_year", "filed"), keys), "wide"), split_table, keys)
     wide = written(wide.drop("splits"), "counted")
@@ -234,7 +248,8 @@ def assemble(facts: DataFrame, prices: DataFrame, split_table: DataFrame, compan
     price = factor.select(*keys, (F.col("close") / F.col("factor")).alias("price"))
     native = written(quarter_features(view, split_table, keys, wide), "native")
     whole = wide.join(price, keys, "left").join(native, keys, "left")
-    return indicator_rows(whole.join(companies, "ticker"), [*keys, "sector", "industry", "fiscal_year"])
+    labels = companies.join(whole.select(*keys), keys if "as_of" in companies.columns else ["ticker"])
+    return indicator_rows(whole.join(labels.select(*keys, "sector", "industry"), keys), [*keys, "sector", "industry", "fiscal_year"])
 
 
 #: Components of ms_score, and whether above the sector's median is good.

@@ -56,7 +56,9 @@ def is_true_split(x: Column) -> Column:
 
 
 def fingerprints(splits: DataFrame, key: str = "ticker") -> DataFrame:
-    """``date:ratio`` of each split in order, joined by semicolons."""
-    each = F.concat_ws(":", F.col("ex_date").cast("string"), F.format_string("%.8g", "ratio"))
+    """``date:ratio`` of each split in order, joined by semicolons; a ratio
+    has eight significant digits and no zeros behind the last."""
+    text = F.regexp_replace(F.format_string("%.15f", F.expr("round(ratio * power(10, 7 - floor(log10(ratio)))) / power(10, 7 - floor(log10(ratio)))")), r"\.?0+$", "")
+    each = F.concat_ws(":", F.col("ex_date").cast("string"), text)
     listed = F.array_sort(F.collect_list(F.struct("ex_date", each.alias("text"))))
     return splits.groupBy(key).agg(listed.alias("_l")).select(key, F.concat_ws(";", F.col("_l.text")).alias("splits_hash"))

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import ANNUAL_FORMS, EXPECTED_DAYS, FORM_PRIORITY, LAST_RANK
+from ..constants import ANNUAL_FORMS, DEPRECATED_TAGS, EXPECTED_DAYS, FORM_PRIORITY, LAST_RANK
 
 #: A fiscal year counts as reported with so many different concepts.
 LEAST_CONCEPTS = 5
@@ -137,7 +137,7 @@ def dense(columns: list[str], least: int = LEAST_CONCEPTS) -> Column:
     return F.size(F.array_compact(F.array(*(F.col(c) for c in columns)))) >= least
 
 
-def without_deprecated(facts: DataFrame, deprecated: dict[str, list[str]]) -> DataFrame:
+def without_deprecated(facts: DataFrame, deprecated: dict[str, list[str]] = DEPRECATED_TAGS) -> DataFrame:
     """Drop (concept, tag) pairs that are no longer mapped."""
     gone = F.lit(False)
     for concept, tags in deprecated.items():

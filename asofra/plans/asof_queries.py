@@ -245,8 +245,9 @@ def true_split_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT ticker, string_agg(CAST(ex_date AS VARCHAR) || ':' || CASE ratio WHEN 0.5 THEN '0.50000000' WHEN 0.25 THEN '0.25000000' ELSE '2.0000000' END,
-      ';' ORDER BY ex_date) AS splits_hash FROM {splits} GROUP BY 1"""
+    """SELECT ticker, string_agg(CAST(ex_date AS VARCHAR) || ':' || printf('%.8g', ratio), ';' ORDER BY ex_date) AS splits_hash
+    FROM (SELECT ticker, ex_date, ratio * (1 + ticker / 7e0) AS ratio FROM {splits}) GROUP BY 1"""
 )
 def splits_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splits.fingerprints(table(spark, sf_dir, "splits"))
+    uneven = table(spark, sf_dir, "splits").withColumn("ratio", F.expr("ratio * (1 + ticker / 7e0)"))
+    return splits.fingerprints(uneven)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cross_section as cs
-from ..operators import daily, features, reference_data, validate
+from ..operators import daily, features, periods, reference_data, splits, validate
 from ..operators.asof import members_at
 from ..sources import text
 from ..streaming import incremental
@@ -175,11 +175,12 @@ def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_long}, {robust_sql('month, name')}, a AS (SELECT name, median(z) AS m, max(abs(z)) AS top, count(z) AS n FROM z GROUP BY 1)
-    SELECT name, 'centered' AS "check", abs(m) <= 0.05 AS passed FROM a UNION ALL SELECT name, 'bounded', top <= 5 FROM a
-    UNION ALL SELECT name, 'no_nan', TRUE FROM a UNION ALL SELECT name, 'present', n > 0 FROM a"""
+    f"""WITH {_long}, {robust_sql('month, name')}, a AS (SELECT name, median(z) AS m, max(abs(z)) AS top, count(z) AS n, count(*) FILTER (isnan(z)) AS nan FROM z GROUP BY 1),
+    b AS (SELECT name, 1.4826e0 * median(abs(z - m)) AS mad FROM z JOIN a USING (name) GROUP BY 1)
+    SELECT name, 'centered' AS "check", abs(m) < 0.05 AS passed FROM a UNION ALL SELECT name, 'scaled', mad > 0.9 AND mad < 1.1 FROM b
+    UNION ALL SELECT name, 'bounded', top <= 5 FROM a UNION ALL SELECT name, 'no_nan', nan = 0 FROM a UNION ALL SELECT name, 'present', n > 0 FROM a"""
 )
-def snapshot_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def score_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = cs.melt(monthly(spark, sf_dir), ["ticker", "month", "sector"], ["level", "size"])
     return validate.score_checks(cs.robust_scores(long, ["month", "name"]), ["name"])
 
@@ -264,8 +265,7 @@ def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH m AS ({MONTH}) SELECT ticker, month, round(level, 6) AS level FROM m ORDER BY m.level DESC, ticker, month LIMIT 10", dates="month")
 def topk_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = monthly(spark, sf_dir).orderBy(F.col("level").desc(), "ticker", "month").limit(10)
-    return top.select("ticker", "month", F.round("level", 6).alias("level"))
+    return cs.top(monthly(spark, sf_dir), "level", 10, "ticker", "month").select("ticker", "month", F.round("level", 6).alias("level"))
 
 
 @query(
@@ -274,16 +274,13 @@ def topk_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates="month",
 )
 def quantile_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = monthly(spark, sf_dir)
-    cut = rows.groupBy("month").agg(F.percentile("level", 0.9).alias("cut"))
-    return rows.join(cut, "month").where("level >= cut").select("ticker", "month", F.round("level", 6).alias("level"))
+    return cs.above_quantile(monthly(spark, sf_dir), "level", 0.9, ["month"]).select("ticker", "month", F.round("level", 6).alias("level"))
 
 
 @query("SELECT sector, round(median(level), 6) AS level, round(median(size), 6) AS size, count(*) AS n FROM {panel} GROUP BY 1")
 def sector_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "panel").groupBy("sector").agg(
-        F.round(F.percentile("level", 0.5), 6).alias("level"), F.round(F.percentile("size", 0.5), 6).alias("size"), F.count("*").alias("n")
-    )
+    out = cs.profile(table(spark, sf_dir, "panel"), ["level", "size"], ["sector"])
+    return out.withColumns({c: F.round(c, 6) for c in ("level", "size")})
 
 
 @query("SELECT user_id, k, count(*) AS n FROM (SELECT user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM {events}) GROUP BY 1, 2")
@@ -317,9 +314,10 @@ def company_like_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE l.cursor IS NULL OR e.ts > l.cursor GROUP BY 1"""
 )
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    cursor = events.where("ts < TIMESTAMP_NTZ '2024-01-15'").groupBy("user_id").agg(F.max("ts").alias("cursor"))
-    fresh = events.join(cursor, "user_id", "left").where("cursor IS NULL OR ts > cursor")
+    events = table(spark, sf_dir, "events").withColumnsRenamed({"user_id": "ticker", "ts": "date"})
+    cursor = events.where("date < TIMESTAMP_NTZ '2024-01-15'").groupBy("ticker").agg(F.max("date").alias("last_daily_date"))
+    plan = events.select("ticker").distinct().join(cursor, "ticker", "left").withColumn("action", F.lit("append"))
+    fresh = incremental.fresh_rows(events, plan).withColumnRenamed("ticker", "user_id")
     return fresh.groupBy("user_id").agg(F.count("*").alias("fresh"), F.round(F.sum("value"), 4).alias("total"))
 
 
@@ -367,7 +365,11 @@ def daily_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts, cuts = table(spark, sf_dir, "facts"), table(spark, sf_dir, "splits")
     years = facts.where("fiscal_qtr = 'FY'").groupBy("ticker", "fiscal_year").agg(F.max("filed").alias("as_of"))
     fund = daily.fund_layer(facts, cuts, table(spark, sf_dir, "companies"), years)
-    return daily.daily_layer(table(spark, sf_dir, "prices"), fund, daily.pershare_layer(facts), cuts, ["roe", "roa"])
+    eps = facts.where("concept = 'eps_diluted'").join(splits.split_table(cuts), "ticker", "left")
+    eps = eps.withColumn("value", F.col("value") * splits.factor_after(F.col("splits"), F.col("filed"))).drop("splits")
+    return daily.daily_layer(
+        table(spark, sf_dir, "prices"), fund, daily.pershare_layer(facts), cuts, daily.FUNDAMENTAL, periods.ttm_eps(eps, ["ticker"])
+    )
 
 
 _shares_rank = "CASE tag WHEN 'MulticlassSharesOutstanding' THEN 0 WHEN 'EntityCommonStockSharesOutstanding' THEN 1 WHEN 'MulticlassSharesOutstandingBS' THEN 2 ELSE 3 END"

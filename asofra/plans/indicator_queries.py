@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import DURATIONS, FAMILIES
+from ..constants import DURATIONS, FAMILIES, indicator_names
 from ..functions.storage import written
 from ..operators import asof, indicators, periods, quarterly, snapshot, splits, vintages
 from .adapter import table
@@ -247,6 +247,6 @@ def snapshot_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def indicators_scored() -> list[str]:
-    return [*FAMILIES["profitability"], *FAMILIES["leverage"]]
+    return indicator_names()
 
 

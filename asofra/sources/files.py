@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,18 +47,24 @@ def write_partitions(rows: DataFrame, path: str, *by: str) -> None:
 
 def append_rows(spark: SparkSession, rows: DataFrame, path: str, keys: list[str], *by: str) -> int:
     """Append what the layer, partitioned ``by``, does not have by key; its
-    columns must be the same. Running twice adds nothing. Returns the number
-    of rows added."""
+    columns and their types must be the same. Running twice adds nothing. Of
+    the layer only the partitions that ``rows`` touches are read. Returns the
+    number of rows added."""
+    fresh = written(rows, "fresh")
     try:
         old = spark.read.parquet(path)
-    except Exception as error:
+    except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        rows.write.partitionBy(*by).parquet(path)
-        return spark.read.parquet(path).count()
-    if sorted(old.columns) != sorted(rows.columns):
-        raise ValueError(f"columns differ: {sorted(set(old.columns) ^ set(rows.columns))}")
-    fresh = written(rows.join(old.select(*keys), keys, "left_anti").select(*old.columns), "fresh")
+        fresh.write.partitionBy(*by).parquet(path)
+        return fresh.count()
+    types = lambda df: {f.name: f.dataType for f in df.schema if f.name not in by}
+    if types(old) != types(rows) or set(old.columns) != set(rows.columns):
+        raise ValueError(f"columns differ: {sorted(map(str, set(types(old).items()) ^ set(types(rows).items())))}")
+    if by:
+        touched = [r[0] for r in fresh.select(by[0]).distinct().collect()]
+        old = old.where(F.col(by[0]).isin(touched))
+    fresh = written(fresh.join(old.select(*keys), keys, "left_anti").select(*old.columns), "fresh")
     count = fresh.count()
     if count:
         fresh.write.mode("append").partitionBy(*by).parquet(path)
@@ -70,4 +77,5 @@ def missing(planned: DataFrame, existing: DataFrame, keys: list[str]) -> DataFra
 
 
 def append_log(rows: DataFrame, path: str) -> None:
-    rows.coalesce(1).write.mode("append").option("header", True).csv(path)
+    """Append a run's few rows to a folder of CSV files."""
+    rows.write.mode("append").option("header", True).csv(path)

@@ -44,14 +44,63 @@ def company_facts(raw: DataFrame, tags: DataFrame, column: str = "json") -> Data
     )
 
 
+_ARRAYS = "struct<accessionNumber:array<string>,filingDate:array<date>,form:array<string>,primaryDocument:array<string>>"
+
+
+def _filings(parsed: DataFrame, forms: list[str]) -> DataFrame:
+    rows = parsed.select("cik", F.inline(F.arrays_zip("r.accessionNumber", "r.filingDate", "r.form", "r.primaryDocument")))
+    named = rows.toDF("cik", "accession", "filed", "form", "document")
+    return named.where(F.col("form").isin(*forms))
+
+
 def filing_index(raw: DataFrame, forms: list[str], column: str = "json") -> DataFrame:
     """(cik, accession, filed, form, document) rows from the parallel arrays
     of a filing index document."""
-    schema = "struct<cik:string,filings:struct<recent:struct<accessionNumber:array<string>,filingDate:array<date>,form:array<string>,primaryDocument:array<string>>>>"
-    recent = raw.select(F.from_json(column, schema).alias("j")).select(F.lpad("j.cik", 10, "0").alias("cik"), "j.filings.recent.*")
-    rows = recent.select("cik", F.inline(F.arrays_zip("accessionNumber", "filingDate", "form", "primaryDocument")))
-    named = rows.toDF("cik", "accession", "filed", "form", "document")
-    return named.where(F.col("form").isin(*forms))
+    schema = f"struct<cik:string,filings:struct<recent:{_ARRAYS}>>"
+    parsed = raw.select(F.from_json(column, schema).alias("j")).select(F.lpad("j.cik", 10, "0").alias("cik"), F.col("j.filings.recent").alias("r"))
+    return _filings(parsed, forms)
+
+
+def index_pages(raw: DataFrame, start: str, end: str, column: str = "json") -> DataFrame:
+    """(cik, page): the further pages of a filing index that hold filings of
+    [start, end]; others need not be fetched."""
+    schema = "struct<cik:string,filings:struct<files:array<struct<name:string,filingFrom:date,filingTo:date>>>>"
+    parsed = raw.select(F.from_json(column, schema).alias("j")).select(F.lpad("j.cik", 10, "0").alias("cik"), F.inline("j.filings.files"))
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    return parsed.where((F.col("filingTo") >= first) & (F.col("filingFrom") <= last)).select("cik", F.col("name").alias("page"))
+
+
+def index_page_filings(raw: DataFrame, forms: list[str], column: str = "json") -> DataFrame:
+    """Rows as of ``filing_index`` from its further pages (cik, json), each
+    the bare arrays."""
+    return _filings(raw.select(F.lpad("cik", 10, "0").alias("cik"), F.from_json(column, _ARRAYS).alias("r")), forms)
+
+
+def instance_documents(listing: DataFrame) -> DataFrame:
+    """(accession, document, state) from the files (accession, name, size) of
+    each filing: the converted instance ``*_htm.xml``, else ``abc-20240331.xml``,
+    else the largest XML file that is no linkbase or report. state is found,
+    or none for good; an accession whose listing could not be read has a row
+    without a name and is to be asked again."""
+    name = F.lower("name")
+    dated = name.rlike(r"^[a-z0-9]+-[0-9]{8}\.xml$")
+    other = name.endswith(".xml") & ~name.rlike(r"(_cal|_def|_lab|_pre)\.xml$|^filingsummary\.xml$|^r[0-9]+\.xml$")
+    rank = F.when(name.endswith("_htm.xml"), 0).when(dated, 1).when(other, 2)
+    best = F.min(F.when(rank.isNotNull(), F.struct(rank.alias("rank"), (-F.coalesce("size", F.lit(0))).alias("size"), F.col("name").alias("name")))).alias("_b")
+    agg = listing.groupBy("accession").agg(best, F.count("name").alias("_n"))
+    state = F.when(F.col("_n") == 0, "retry").when(F.col("_b").isNull(), "none").otherwise("found")
+    return agg.select("accession", F.col("_b.name").alias("document"), state.alias("state"))
+
+
+def company_text(candidates: DataFrame, companies: DataFrame) -> DataFrame:
+    """(ticker, description, source): the first candidate article (ticker,
+    rank, title, text) that is about a company, else the industry label
+    (ticker, sic_description)."""
+    good = candidates.where(is_company_like(F.col("title"), F.col("text")))
+    best = good.groupBy("ticker").agg(F.min(F.struct("rank", "title", "text")).alias("_b"))
+    met = companies.join(best, "ticker", "left")
+    source = F.when(F.col("_b").isNotNull(), "article").when(F.col("sic_description").isNotNull(), "label")
+    return met.select("ticker", F.coalesce("_b.text", "sic_description").alias("description"), source.alias("source"))
 
 
 def is_company_like(title: Column, text: Column) -> Column:

@@ -185,8 +185,8 @@ def test_daily_layer_is_consistent_across_a_split(spark):
     prices = spark.createDataFrame([("S", d, 50.0) for d in days], "ticker string, date date, close double")
     cuts = spark.createDataFrame([("S", D("2020-06-15"), 0.5)], "ticker string, ex_date date, ratio double")
     stubs = {s: None for s in constants.STUBS} | {"shares": 1e9, "eps": 5.0}
-    schema = "ticker string, fiscal_year int, filed_date date, eps_growth_yoy double, roe double, " + ", ".join(f"stub_{s} double" for s in stubs)
-    fund = spark.createDataFrame([("S", 2019, D("2020-02-15"), None, 0.2, *stubs.values())], schema)
+    schema = "ticker string, fiscal_year int, filed_date date, period_end date, eps_growth_yoy double, roe double, " + ", ".join(f"stub_{s} double" for s in stubs)
+    fund = spark.createDataFrame([("S", 2019, D("2020-02-15"), D("2019-12-31"), None, 0.2, *stubs.values())], schema)
     shares = "ticker string, filed_date date, period_end date, shares double"
     counts = spark.createDataFrame([("S", D("2020-02-15"), D("2019-12-31"), 1e9), ("S", D("2020-06-25"), D("2020-06-20"), 2.05e9)], shares)
     out = {r.date: r for r in daily.daily_layer(prices, fund, counts, cuts, ["roe"]).collect()}
@@ -245,7 +245,7 @@ def test_group_operators(spark):
 
 def test_classes(spark):
     members = spark.createDataFrame([("us-gaap:CommonClassAMember",), ("x:SeriesBPreferredStock",), ("Other",), ("co:ClassBShares",)], "m string")
-    assert [r.c for r in members.select(reference_data.canonical_class(F.col("m")).alias("c")).collect()] == ["Class A", None, None, "Class B"]
+    assert [r.c for r in members.select(reference_data.canonical_class(F.col("m")).alias("c")).collect()] == ["A", None, "Other", "B"]
     day = D("2024-04-15")
     counts = spark.createDataFrame([("T", "ACC-1", day, "A", False, 1000.0), ("T", "ACC-1", day, "B", True, 50000.0)], "ticker string, accession string, period_end date, share_class string, priced boolean, value double")
     eps = spark.createDataFrame([("T", D("2024-01-01"), D("2024-03-31"), "A", False, 4500.0), ("T", D("2024-01-01"), D("2024-03-31"), "B", True, 3.0)], "ticker string, period_start date, period_end date, share_class string, priced boolean, value double")
