@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.storage import dropped, new_path, written
+from ..functions.storage import dropped, new_path, scratch, written
 
-__all__ = ["arrow_batches", "ascii_lower", "dropped", "free_names", "join_groups", "new_path", "table", "without_rows", "written"]
+__all__ = ["arrow_batches", "ascii_lower", "dropped", "free_names", "join_groups", "new_path", "scratch", "table", "without_rows", "written"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -32,12 +34,14 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def without_rows(docs: DataFrame, gone: DataFrame, keep: Callable[..., None]) -> DataFrame:
     """``docs`` without the rows of ``gone`` (doc_id, text_id), text_id being
     xxhash64 of the text. Where ``gone``, which is written first, is small by
-    Spark's own measure it is broadcast and no text moves."""
+    Spark's own measure it is broadcast and no text moves. ``keep`` is that of
+    the ``scratch`` block around."""
     doc_id, text_id = free_names(docs, "_gone_id", "_gone_text")
     found = written(gone.select(F.col("doc_id").alias(doc_id), F.col("text_id").alias(text_id)).distinct(), "gone")
+    keep(found)
     match = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_id))
     return docs.join(found, match, "left_anti")
 

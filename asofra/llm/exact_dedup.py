@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, join_groups, table, without_rows, written
+from .common import ascii_lower, join_groups, scratch, table, without_rows, written
 
 #: Buckets of a broadcast filter: 64 in a row, so 2^18 rows at most.
 BUCKETS = 1 << 24
@@ -90,7 +90,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     doc_id and different texts are told apart by a hash of the text. Only the
     rows that go are joined with the texts.
     """
-    return without_rows(docs, _refined(docs).where("not kept"))
+    with scratch(docs.sparkSession) as keep:
+        return without_rows(docs, _refined(docs).where("not kept"), keep)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

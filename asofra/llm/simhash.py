@@ -22,7 +22,7 @@ group, whose members mostly leave the scan with the first one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, join_groups, table, without_rows, written
+from .common import arrow_batches, join_groups, scratch, table, without_rows, written
 from .components import components
 
 WORDS = 4
@@ -38,14 +38,16 @@ SEED = 42
 RADIUS = 4
 #: For near copies in general: shingles of five words, and a similarity of 4/5.
 #: Such sets differ in 9.7 bits of 64 on average, and in 19.4 of 128; a pair is
-#: proposed by at most 14 bits in either lane and at most 33 in both.
-COPY_WORDS, COPY_RADIUS, COPY_WHOLE = 5, 14, 33
+#: proposed by at most 14 bits in either lane and at most 30 in both.
+COPY_WORDS, COPY_RADIUS, COPY_WHOLE = 5, 14, 30
 ALIKE, ALIKE_OF = 4, 5
 MOST_RADIUS = 14
 #: A proposed group of more texts, or more shingles, is compared in blocks.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 #: Members of such a group that every block of it sees at first.
 PIVOTS = 32
+#: A part of a table holds about 2^15 fingerprints.
+PART_LOG2 = 15
 #: Pairs of fingerprints of a large bucket compared at a time.
 PAIRS = 1 << 18
 #: Buckets up to this size are compared all at once, shifted against themselves.
@@ -144,30 +146,80 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, text_id long, node long, a long, b long")
 
 
-def _keys(fp: Column, radius: int) -> Column:
-    """The table keys of a fingerprint, segment number above segment value.
+def _flips(value: np.ndarray, width: int, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The table keys of segment values, and whether each is one.
 
     reach 0: the value alone. reach 1: also the values with one set bit
     cleared; of two values one bit apart, the one with the bit visits the
     other. reach 2: the whole ball of radius 1; values up to two bits apart
     share a centre.
     """
+    yield value, np.ones(value.size, bool)
+    for bit in range(width if reach else 0):
+        flipped = value ^ np.uint64(1 << bit)
+        yield flipped, np.ones(value.size, bool) if reach == 2 else flipped < value
+
+
+def _parts(fp: Column, radius: int, low: int) -> Column:
+    """The parts of the tables that hold a fingerprint's keys: segment number
+    above the lowest ``low`` bits of a key."""
     cut = segments(radius)
     reach, parts = radius // len(cut), []
     for k, (shift, width) in enumerate(cut):
-        value = F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit((1 << width) - 1)) + F.lit(k << 32)
+        kept = min(low, width)
+        value = F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit((1 << kept) - 1)) + F.lit(k << 32)
         parts.append(value)
-        for bit in range(width if reach else 0):
+        for bit in range(kept if reach else 0):
             flipped = value.bitwiseXOR(F.lit(1 << bit))
             parts.append(flipped if reach == 2 else F.when(value.bitwiseAND(F.lit(1 << bit)) != 0, flipped))
     return F.array_compact(F.array(*parts))
 
 
+def table_keys(a: np.ndarray, part: int, radius: int, low: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, key) of the fingerprints' keys that belong to a part, by
+    key; segment number above segment value."""
+    cut = segments(radius)
+    segment = part >> 32
+    shift, width = cut[segment]
+    kept = np.uint64((1 << min(low, width)) - 1)
+    value = (a >> np.uint64(shift)) & np.uint64((1 << width) - 1)
+    place, keys = [], []
+    for key, real in _flips(value, width, radius // len(cut)):
+        at = np.flatnonzero(real & ((key & kept) == np.uint64(part & 0xFFFFFFFF)))
+        place.append(at)
+        keys.append(key[at])
+    place, keys = np.concatenate(place), np.concatenate(keys).astype(np.int64) + (segment << 32)
+    order = np.argsort(keys, kind="stable")
+    return place[order], keys[order]
+
+
 def _near(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, radius: int, whole: int) -> np.ndarray:
     first = np.bitwise_count(a ^ c)
     return (first <= radius) & (first + np.bitwise_count(b ^ d) <= whole)
 
 
+def first_shared(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
+    """The least table key that the fingerprints x and y both have, -1 for
+    none: of the first segment in which they differ in few enough bits."""
+    cut = segments(radius)
+    reach, out = radius // len(cut), np.full(x.size, -1, np.int64)
+    for k, (shift, width) in reversed(list(enumerate(cut))):
+        mask = np.uint64((1 << width) - 1)
+        p, q = (x >> np.uint64(shift)) & mask, (y >> np.uint64(shift)) & mask
+        differ = p ^ q
+        count = np.bitwise_count(differ)
+        top = np.uint64(1) << np.maximum(np.frexp(p.astype(np.float64))[1] - 1, 0).astype(np.uint64)
+        same = p & ~top if reach else p  # the highest bit cleared
+        low = differ & (~differ + np.uint64(1))
+        key = np.where(count == 0, same, np.where(count == 1, np.minimum(p, q), np.minimum(p ^ low, p ^ low ^ differ)))
+        met = count <= reach
+        if reach == 1:  # each has one bit that the other lacks, and both clear theirs
+            apart = (count == 2) & ((differ & p) != 0) & ((differ & q) != 0)
+            key, met = np.where(apart, p & q, key), met | apart
+        out = np.where(met, key.astype(np.int64) + (k << 32), out)
+    return out
+
+
 def _linked(a: np.ndarray, b: np.ndarray, radius: int, whole: int) -> np.ndarray:
     """Positions of the fingerprints that have any link."""
     step, out = max(1, PAIRS // max(1, a.size)), np.zeros(a.size, bool)
@@ -197,25 +249,32 @@ def spanning(a: np.ndarray, b: np.ndarray, radius: int, whole: int) -> list[tupl
 
 def bucket_links(keys: np.ndarray, node: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int, whole: int) -> np.ndarray:
     """Links (two columns) within each bucket; ``keys`` is sorted. All links
-    in a small bucket, a spanning forest in a larger one."""
+    in a small bucket, a spanning forest in a larger one.
+
+    Of the buckets that two linked fingerprints share, only the one with the
+    least key gives their link. What the forest of another bucket would add is
+    joined there: by a forest whose links are given or, again, joined in
+    buckets of lesser keys.
+    """
     edge = np.flatnonzero(np.diff(keys)) + 1
     start = np.concatenate(([0], edge))
     count = np.diff(np.concatenate((start, [keys.size])))
     out = [np.zeros((0, 2), np.int64)]
-    small = np.repeat(count <= SMALL_BUCKET, count)
-    k, n, x, y = keys[small], node[small], a[small], b[small]
+    small = np.flatnonzero(np.repeat(count <= SMALL_BUCKET, count))
+    k, x, y = keys[small], a[small], b[small]
     for step in range(1, SMALL_BUCKET):
         if k.size <= step:
             break
         hit = (k[step:] == k[:-step]) & _near(x[step:], y[step:], x[:-step], y[:-step], radius, whole)
-        out.append(np.stack((n[:-step][hit], n[step:][hit]), axis=1))
+        out.append(np.stack((small[:-step][hit], small[step:][hit]), axis=1))
     for s, c in zip(start[count > SMALL_BUCKET].tolist(), count[count > SMALL_BUCKET].tolist()):
-        own, at = np.unique(node[s : s + c], return_index=True)
-        linked = _linked(a[s : s + c][at], b[s : s + c][at], radius, whole)
-        own, at = own[linked], at[linked]
-        if links := spanning(a[s : s + c][at], b[s : s + c][at], radius, whole):
-            out.append(own[np.array(links)])
+        at = s + np.unique(node[s : s + c], return_index=True)[1]
+        at = at[_linked(a[at], b[at], radius, whole)]
+        if links := spanning(a[at], b[at], radius, whole):
+            out.append(at[np.array(links)])
     found = np.concatenate(out)
+    found = found[first_shared(a[found[:, 0]], a[found[:, 1]], radius) == keys[found[:, 0]]]
+    found = node[found]
     found = np.sort(found[found[:, 0] != found[:, 1]], axis=1)
     return np.unique(found, axis=0) if len(found) else found
 
@@ -223,34 +282,45 @@ def bucket_links(keys: np.ndarray, node: np.ndarray, a: np.ndarray, b: np.ndarra
 def links(nodes: DataFrame, radius: int = RADIUS, whole: int | None = None) -> DataFrame:
     """(u, v) between distinct ``nodes`` (node, a, b) whose transitive closure
     is that of all pairs at most ``radius`` bits apart in lane a and at most
-    ``whole`` in both."""
+    ``whole`` in both.
+
+    The tables are cut into parts by the lowest bits of their keys, more of
+    them the more nodes there are, so that a part holds a bounded number of
+    fingerprints unless they are alike. A fingerprint goes once to each part
+    that has keys of it, and the part finds the keys.
+    """
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = 128 if whole is None else whole
+    low = max(4, (nodes.count() >> PART_LOG2).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[list[np.ndarray]] = []
 
-        def linked(columns: list[np.ndarray]) -> pa.RecordBatch:
-            key, node, a, b = columns
-            found = bucket_links(key, node, a.view(np.uint64), b.view(np.uint64), radius, both)
-            return pa.RecordBatch.from_arrays([pa.array(found[:, i].copy()) for i in (0, 1)], ["u", "v"])
+        def linked(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            part, node, a, b = columns
+            a, b = a.view(np.uint64), b.view(np.uint64)
+            edge = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [part.size])).tolist()
+            for s, e in zip(edge, edge[1:]):
+                at, keys = table_keys(a[s:e], int(part[s]), radius, low)
+                found = bucket_links(keys, node[s:e][at], a[s:e][at], b[s:e][at], radius, both)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, i].copy()) for i in (0, 1)], ["u", "v"])
 
         for batch in batches:
-            columns = [batch[c].to_numpy(zero_copy_only=False) for c in ("key", "node", "a", "b")]
+            columns = [batch[c].to_numpy(zero_copy_only=False) for c in ("part", "node", "a", "b")]
             if not batch.num_rows:
                 continue
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last bucket may go on in the next batch
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last part may go on in the next batch
             if cut:
-                yield linked([np.concatenate(x) for x in zip(*rest, [c[:cut] for c in columns])])
+                yield from linked([np.concatenate(x) for x in zip(*rest, [c[:cut] for c in columns])])
                 rest = []
             rest.append([c[cut:] for c in columns])
         if rest:
-            yield linked([np.concatenate(x) for x in zip(*rest)])
+            yield from linked([np.concatenate(x) for x in zip(*rest)])
 
     arrow_batches(spark, rows=200_000)
-    keyed = nodes.select("node", "a", "b", F.explode(_keys(F.col("a"), radius)).alias("key"))
-    dealt = keyed.repartition(parts, "key").sortWithinPartitions("key")
+    keyed = nodes.select("node", "a", "b", F.explode(_parts(F.col("a"), radius, low)).alias("part"))
+    dealt = keyed.repartition(parts, "part").sortWithinPartitions("part")
     return dealt.mapInArrow(run, "u long, v long")
 
 
@@ -267,9 +337,10 @@ def near_duplicates(
     each. A null doc_id is a component_id only where its component has no
     other id. No documents: no rows. Other columns are ignored.
     """
-    signed = written(fingerprints(docs, words, 1 if whole is None else 2), "simhash-docs")
-    nodes = written(_nodes(signed), "simhash-nodes")
-    return _grouped(signed, nodes, written(links(nodes, radius, whole), "simhash-links"))
+    with scratch(docs.sparkSession) as keep:
+        signed = written(fingerprints(docs, words, 1 if whole is None else 2), "simhash-docs")
+        nodes = written(_nodes(signed), "simhash-nodes")
+        return _grouped(signed, nodes, written(links(nodes, radius, whole), "simhash-links"), keep)
 
 
 def _nodes(signed: DataFrame) -> DataFrame:
@@ -278,15 +349,16 @@ def _nodes(signed: DataFrame) -> DataFrame:
     )
 
 
-def _grouped(signed: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(doc_id, text_id, a, component_id) by the components of ``edges``."""
+def _grouped(signed: DataFrame, nodes: DataFrame, edges: DataFrame, keep: Callable[..., None]) -> DataFrame:
+    """(doc_id, text_id, a, component_id) by the components of ``edges``; of
+    the tables written so far the result reads ``signed`` and one more."""
     roots = components(edges)
     placed = written(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "simhash-roots")
     least = placed.groupBy("root").agg(F.min("_least").alias("component_id"), F.count("*").alias("_m"))
     named = join_groups(placed, written(least, "simhash-least"), ["root"], "_m").select("node", "component_id", "_n")
-    return join_groups(signed, written(named, "simhash-components"), ["node"], "_n").select(
-        "doc_id", "text_id", "a", "component_id"
-    )
+    named = written(named, "simhash-components")
+    keep(signed, named)
+    return join_groups(signed, named, ["node"], "_n").select("doc_id", "text_id", "a", "component_id")
 
 
 def alike(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -395,11 +467,15 @@ def alike_links(docs: DataFrame, nodes: DataFrame, proposed: DataFrame) -> DataF
 def near_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, text_id, a, component_id) per row as of ``near_duplicates``,
     by links between texts whose shingle sets have a similarity of 0.8."""
-    signed = written(shingle_sets(docs), "simhash-docs")
-    nodes = written(_nodes(signed), "simhash-nodes")
-    swapped = nodes.select("node", F.col("b").alias("a"), F.col("a").alias("b"))
-    proposed = [written(links(n, COPY_RADIUS, COPY_WHOLE), "simhash-links") for n in (nodes, swapped)]
-    return _grouped(signed, nodes, written(alike_links(docs, nodes, proposed[0].union(proposed[1])), "simhash-verified"))
+    with scratch(docs.sparkSession) as keep:
+        signed = written(shingle_sets(docs), "simhash-docs")
+        nodes = written(_nodes(signed), "simhash-nodes")
+        swapped = nodes.select("node", F.col("b").alias("a"), F.col("a").alias("b"))
+        with scratch(docs.sparkSession) as keep_links:
+            proposed = [written(links(n, COPY_RADIUS, COPY_WHOLE), "simhash-links") for n in (nodes, swapped)]
+            verified = written(alike_links(docs, nodes, proposed[0].union(proposed[1])), "simhash-verified")
+            keep_links(verified)
+        return _grouped(signed, nodes, verified, keep)
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -410,7 +486,9 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Rows with equal doc_id and equal text stay or go together; a document
     without an id stays only in a group without any.
     """
-    return without_rows(docs, near_copies(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    with scratch(docs.sparkSession) as keep:
+        gone = near_copies(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+        return without_rows(docs, gone, keep)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

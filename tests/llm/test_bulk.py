@@ -6,8 +6,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from asofra.llm import byte_bpe, decontaminate, exact_dedup, pii, simhash, warc
 from asofra.llm import components as connected
@@ -214,6 +216,32 @@ def test_deduplicated_rows_keep_every_column(spark, docs):
     assert key(r[:at] + r[at + 1 :] for r in clean) == key(tuple(r)[:at] + tuple(r)[at + 1 :] for r in docs.collect())
 
 
+@pytest.mark.parametrize("radius,low", [(2, 4), (4, 6), (8, 30), (14, 5)])
+def test_first_shared_key(spark, radius, low):
+    rng = np.random.default_rng(radius)
+    x = rng.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)
+    x[:40] &= np.uint64(0xFFFF)
+    y = x.copy()
+    for k in range(radius + 2):
+        y[k % 3 :: 3] ^= np.uint64(1) << rng.integers(0, 64, y[k % 3 :: 3].size, dtype=np.uint64)
+    both = np.concatenate((x, y))
+    rows = [(int(v),) for v in both.view(np.int64)]
+    keys, parts = [set() for _ in rows], {}
+    for k, r in enumerate(spark.createDataFrame(rows, "a long").select(simhash._parts(F.col("a"), radius, low)).collect()):
+        assert len(set(r[0])) == len(r[0])
+        for part in r[0]:
+            parts.setdefault(part, []).append(k)
+    for part, own in parts.items():
+        at, found = simhash.table_keys(both[own], part, radius, low)
+        assert (np.diff(found) >= 0).all()
+        for k, key_ in zip(at.tolist(), found.tolist()):
+            assert key_ not in keys[own[k]]
+            keys[own[k]].add(key_)
+    want = [min(p & q, default=-1) for p, q in zip(keys[: x.size], keys[x.size :])]
+    assert simhash.first_shared(x, y, radius).tolist() == want
+    assert all(p & q for p, q, u, v in zip(keys, keys[x.size :], x, y) if (int(u) ^ int(v)).bit_count() <= radius)
+
+
 @pytest.mark.parametrize("contracted", [1, 20, 1 << 20])
 def test_components_of_any_size(spark, monkeypatch, contracted):
     monkeypatch.setattr(connected, "CONTRACTED", contracted)
