@@ -91,21 +91,29 @@ def test_warc(spark, tmp_path):
         sha = base64.b32encode(hashlib.sha1(raw).digest()).decode()
         want.append((i, len(raw), sha, "response" if i == keep else "revisit", None if i == keep else keep))
     assert key((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == key(want)
-    records = {r.page_id: r.record for r in warc.reconstruct(spark, path).collect()}
-    assert records[5].endswith("\r\n\r\n" + "é" * 1000) and "WARC-Type: response\r\n" in records[5]
+    records = {r.page_id: bytes(r.record).decode() for r in warc.reconstruct(spark, path).collect()}
+    assert records[5].endswith("Content-Length: 2000\r\n\r\n" + "é" * 1000) and "WARC-Type: response\r\n" in records[5]
     assert "WARC-Refers-To: <urn:page:1:" in records[2] and records[2].endswith("Content-Length: 0\r\n\r\n")
-    assert spark.read.parquet(f"{path}/payloads").count() == len(first)
+    assert "HTTP/1.1 200 OK\r\n" in records[1] and records[1].endswith("\r\n\r\n<p>x</p>")
+    assert warc.read_payloads(spark, path).count() == len(first)
     warc.export_files(spark, path, str(tmp_path / "files"))
-    written = "".join(p.read_bytes().decode() for p in (tmp_path / "files").glob("part-*"))
-    assert written.count("WARC/1.1\r\n") == len(records) + 1  # one id stands twice
+    back = warc.read_files(spark, str(tmp_path / "files/part-*"))
+    assert key((r.page_id, bytes(r.record)) for r in back.collect()) == key((r.page_id, bytes(r.record)) for r in warc.reconstruct(spark, path).collect())
+    again = key((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.parsed(back).collect())
+    assert again == key((i, sha, kind, keep) for i, _, sha, kind, keep in want)
+    small = warc.write_archive(df, str(tmp_path / "c"), smallest=9)
+    got = {r.page_id: (r.record_type, r.payload_bytes) for r in warc.read_archive(spark, small).collect()}
+    assert got[2] == ("response", 8) and got[4] == ("response", 0) and got[5] == ("response", 2000)
     empty = warc.write_archive(df.limit(0), str(tmp_path / "b"))
     assert warc.read_archive(spark, empty).count() == 0
 
 
 def test_warc_detects_altered_payload(spark, tmp_path):
     path = warc.write_archive(spark.createDataFrame([(1, "u", "abc")], "page_id long, url string, html string"), str(tmp_path / "a"))
-    digest = spark.read.parquet(f"{path}/payloads").first().digest
-    spark.createDataFrame([(digest, bytearray(b"abd"))], "digest string, payload binary").write.mode("overwrite").parquet(f"{path}/payloads")
+    row = warc.read_payloads(spark, path).first()
+    changed = spark.createDataFrame([(row.digest, row.holder, bytearray(b"abd"))], "digest string, holder string, payload binary")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    changed.write.mode("overwrite").option("path", f"{path}/payloads").bucketBy(buckets, "digest", "holder").saveAsTable("altered")
     with pytest.raises(Exception, match="does not have its digest"):
         warc.read_archive(spark, path).collect()
 
