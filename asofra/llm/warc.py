@@ -152,7 +152,9 @@ def reconstruct(spark: SparkSession, path: str) -> DataFrame:
     """
     headers, payloads = spark.read.parquet(f"{path}/headers"), read_payloads(spark, path)
     whole = F.concat(F.encode("header", "UTF-8"), F.col("payload")).alias("record")
-    out = headers.where("role = 'holder'").join(payloads, ["digest", "holder"]).select("page_id", whole)
+    # headers are hashed bucket by bucket, payloads neither move nor sort
+    own = headers.where("role = 'holder'").hint("shuffle_hash")
+    out = payloads.join(own, ["digest", "holder"]).select("page_id", whole)
     copies = headers.where("role = 'copy'")
     if not copies.isEmpty():  # payloads below the size that is stored as a revisit
         counts = copies.groupBy("digest").agg(F.count("*").alias("_n"))
