@@ -206,66 +206,51 @@ CONCEPT_TAGS = {
 
 # Indicator families and their indicators, in the order of the catalogue.
 FAMILIES = {
-    "valuation": (
-        "pe_trailing peg pb ps pfcf ev_ebitda ev_revenue earnings_yield"
-    ).split(),
-    "profitability": (
-        "gross_margin operating_margin net_margin roe roa roic"
-    ).split(),
-    "growth": (
-        "revenue_growth_yoy revenue_growth_qoq eps_growth_yoy opinc_growth_yoy ebitda_growth"
-    ).split(),
-    "leverage": (
-        "debt_equity net_debt_ebitda interest_coverage current_ratio quick_ratio"
-    ).split(),
-    "efficiency": (
-        "asset_turnover inventory_turnover receivables_turnover"
-    ).split(),
-    "cashflow_quality": (
-        "fcf_ni opcf_ni capex_revenue"
-    ).split(),
-    "shareholder": (
-        "dividend_yield payout_ratio buyback_yield"
-    ).split(),
-    "size": (
-        "market_cap enterprise_value revenue_raw shares_outstanding public_float"
-    ).split(),
-    "piotroski": (
-        "f_roa f_droa f_cfo f_accrual f_dlever f_dliquid f_eq_off f_dmargin f_dturn f_score"
-    ).split(),
-    "research": (
-        "gpa asset_growth sloan_accrual pct_accruals net_operating_assets cash_based_op"
-        " fcf_stability sga_efficiency capex_depreciation dso_change inventory_sales_change"
-    ).split(),
-    "balance_sheet_change": (
-        "del_coa del_col del_finl del_lti del_equ del_netfin total_accruals dnoa ch_nncoa ch_nwc"
-        " inventory_change inventory_growth ppe_inv_change equity_growth gr_ltnoa"
-    ).split(),
-    "financing": (
-        "net_debt_finance net_equity_finance xfin composite_debt_issuance share_iss_1y share_iss_5y"
-        " net_payout_yield"
-    ).split(),
-    "surprise": (
-        "ch_tax num_earn_increase revenue_surprise earnings_surprise earnings_consistency roaq"
-    ).split(),
-    "levels": (
-        "rd_me ebm bpebm cf_me cfp net_debt_price tang tax_to_book effective_tax_rate am"
-        " book_leverage leverage_mkt cash_prod oper_prof cash_assets op_leverage payout_yield"
-        " salecash depr_rate"
-    ).split(),
-    "investment": (
-        "pchdepr grcapx grcapx3y pct_tot_acc ch_asset_turnover gr_sale_to_gr_inv surprise_rd"
-        " investment rd_cap ch_inv_ia"
-    ).split(),
-    "mohanram": (
-        "ms_roa ms_cfroa ms_accrual ms_roa_vol ms_rev_vol ms_rd ms_capex ms_adv ms_score"
-    ).split(),
-    "distress": (
-        "o_score z_score"
-    ).split(),
-    "structure": (
-        "herf kz_index ww_index"
-    ).split(),
+    "valuation": ["pe_trailing", "peg", "pb", "ps", "pfcf", "ev_ebitda", "ev_revenue", "earnings_yield"],
+    "profitability": ["gross_margin", "operating_margin", "net_margin", "roe", "roa", "roic"],
+    "growth": [
+        "revenue_growth_yoy", "revenue_growth_qoq", "eps_growth_yoy", "opinc_growth_yoy", "ebitda_growth",
+    ],
+    "leverage": ["debt_equity", "net_debt_ebitda", "interest_coverage", "current_ratio", "quick_ratio"],
+    "efficiency": ["asset_turnover", "inventory_turnover", "receivables_turnover"],
+    "cashflow_quality": ["fcf_ni", "opcf_ni", "capex_revenue"],
+    "shareholder": ["dividend_yield", "payout_ratio", "buyback_yield"],
+    "size": ["market_cap", "enterprise_value", "revenue_raw", "shares_outstanding", "public_float"],
+    "piotroski": [
+        "f_roa", "f_droa", "f_cfo", "f_accrual", "f_dlever", "f_dliquid", "f_eq_off", "f_dmargin", "f_dturn",
+        "f_score",
+    ],
+    "research": [
+        "gpa", "asset_growth", "sloan_accrual", "pct_accruals", "net_operating_assets", "cash_based_op",
+        "fcf_stability", "sga_efficiency", "capex_depreciation", "dso_change", "inventory_sales_change",
+    ],
+    "balance_sheet_change": [
+        "del_coa", "del_col", "del_finl", "del_lti", "del_equ", "del_netfin", "total_accruals", "dnoa",
+        "ch_nncoa", "ch_nwc", "inventory_change", "inventory_growth", "ppe_inv_change", "equity_growth",
+        "gr_ltnoa",
+    ],
+    "financing": [
+        "net_debt_finance", "net_equity_finance", "xfin", "composite_debt_issuance", "share_iss_1y",
+        "share_iss_5y", "net_payout_yield",
+    ],
+    "surprise": [
+        "ch_tax", "num_earn_increase", "revenue_surprise", "earnings_surprise", "earnings_consistency", "roaq",
+    ],
+    "levels": [
+        "rd_me", "ebm", "bpebm", "cf_me", "cfp", "net_debt_price", "tang", "tax_to_book", "effective_tax_rate",
+        "am", "book_leverage", "leverage_mkt", "cash_prod", "oper_prof", "cash_assets", "op_leverage",
+        "payout_yield", "salecash", "depr_rate",
+    ],
+    "investment": [
+        "pchdepr", "grcapx", "grcapx3y", "pct_tot_acc", "ch_asset_turnover", "gr_sale_to_gr_inv", "surprise_rd",
+        "investment", "rd_cap", "ch_inv_ia",
+    ],
+    "mohanram": [
+        "ms_roa", "ms_cfroa", "ms_accrual", "ms_roa_vol", "ms_rev_vol", "ms_rd", "ms_capex", "ms_adv",
+        "ms_score",
+    ],
+    "distress": ["o_score", "z_score"],
+    "structure": ["herf", "kz_index", "ww_index"],
 }
 
 INDICATORS = [name for names in FAMILIES.values() for name in names]
@@ -291,41 +276,43 @@ UNKNOWN_SECTOR = "Unknown"
 
 # Indicators without meaning in a sector.
 SECTOR_MASKS = {
-    "Financial": (
-        "gpa inventory_turnover cash_based_op capex_depreciation inventory_sales_change inventory_change"
-        " inventory_growth ppe_inv_change tang op_leverage ch_asset_turnover gr_sale_to_gr_inv net_debt_price"
-        " o_score z_score"
-    ).split(),
-    "Utilities": "o_score z_score herf".split(),
-    "Real Estate": "o_score z_score".split(),
+    "Financial": [
+        "gpa", "inventory_turnover", "cash_based_op", "capex_depreciation", "inventory_sales_change",
+        "inventory_change", "inventory_growth", "ppe_inv_change", "tang", "op_leverage", "ch_asset_turnover",
+        "gr_sale_to_gr_inv", "net_debt_price", "o_score", "z_score",
+    ],
+    "Utilities": ["o_score", "z_score", "herf"],
+    "Real Estate": ["o_score", "z_score"],
 }
 
-PRICE_SENSITIVE = (
-    "pe_trailing peg pb ps pfcf ev_ebitda ev_revenue earnings_yield dividend_yield buyback_yield market_cap"
-    " enterprise_value net_payout_yield rd_me ebm bpebm cf_me cfp net_debt_price am leverage_mkt cash_prod"
-    " payout_yield z_score kz_index"
-).split()
-STUBS = (
-    "shares eps equity revenue fcf ebitda total_debt net_debt cash dividends buybacks equity_issuance rnd assets"
-    " liabilities cf_num cfo che net_cash ndp_num z_prefix kz_prefix"
-).split()
+PRICE_SENSITIVE = [
+    "pe_trailing", "peg", "pb", "ps", "pfcf", "ev_ebitda", "ev_revenue", "earnings_yield", "dividend_yield",
+    "buyback_yield", "market_cap", "enterprise_value", "net_payout_yield", "rd_me", "ebm", "bpebm", "cf_me",
+    "cfp", "net_debt_price", "am", "leverage_mkt", "cash_prod", "payout_yield", "z_score", "kz_index",
+]
+STUBS = [
+    "shares", "eps", "equity", "revenue", "fcf", "ebitda", "total_debt", "net_debt", "cash", "dividends",
+    "buybacks", "equity_issuance", "rnd", "assets", "liabilities", "cf_num", "cfo", "che", "net_cash",
+    "ndp_num", "z_prefix", "kz_prefix",
+]
 # 0/1 components: features carry them as they are.
-PASSTHROUGH = (
-    "f_roa f_droa f_cfo f_accrual f_dlever f_dliquid f_eq_off f_dmargin f_dturn"
-    " ms_roa ms_cfroa ms_accrual ms_roa_vol ms_rev_vol ms_rd ms_capex ms_adv"
-).split()
+PASSTHROUGH = [
+    "f_roa", "f_droa", "f_cfo", "f_accrual", "f_dlever", "f_dliquid", "f_eq_off", "f_dmargin", "f_dturn",
+    "ms_roa", "ms_cfroa", "ms_accrual", "ms_roa_vol", "ms_rev_vol", "ms_rd", "ms_capex", "ms_adv",
+]
 STANDARDIZED = [name for name in INDICATORS if name not in PASSTHROUGH]
-LOG_TRANSFORMED = "market_cap enterprise_value revenue_raw shares_outstanding public_float".split()
+LOG_TRANSFORMED = ["market_cap", "enterprise_value", "revenue_raw", "shares_outstanding", "public_float"]
 
-NATIVE_QUARTERLY = (
-    "roaq revenue_surprise earnings_surprise revenue_growth_qoq ch_tax num_earn_increase fcf_stability ms_roa_vol"
-    " ms_rev_vol ing_ms_roa_vol ing_ms_rev_vol"
-).split()
-TTM_QUARTERLY = (
-    "gross_margin operating_margin net_margin roe roa roic asset_turnover inventory_turnover receivables_turnover"
-    " fcf_ni opcf_ni capex_revenue payout_ratio debt_equity net_debt_ebitda interest_coverage current_ratio"
-    " quick_ratio gpa pct_accruals effective_tax_rate oper_prof book_leverage cash_assets salecash depr_rate"
-).split()
+NATIVE_QUARTERLY = [
+    "roaq", "revenue_surprise", "earnings_surprise", "revenue_growth_qoq", "ch_tax", "num_earn_increase",
+    "fcf_stability", "ms_roa_vol", "ms_rev_vol", "ing_ms_roa_vol", "ing_ms_rev_vol",
+]
+TTM_QUARTERLY = [
+    "gross_margin", "operating_margin", "net_margin", "roe", "roa", "roic", "asset_turnover",
+    "inventory_turnover", "receivables_turnover", "fcf_ni", "opcf_ni", "capex_revenue", "payout_ratio",
+    "debt_equity", "net_debt_ebitda", "interest_coverage", "current_ratio", "quick_ratio", "gpa",
+    "pct_accruals", "effective_tax_rate", "oper_prof", "book_leverage", "cash_assets", "salecash", "depr_rate",
+]
 SHARES_TAGS = ["MulticlassSharesOutstanding", "EntityCommonStockSharesOutstanding", "MulticlassSharesOutstandingBS"]
 PERSHARE_FORMS = list(FORM_PRIORITY)
 DEPRECATED_TAGS = {"interest_expense": ["InterestIncomeExpenseNet"]}
