@@ -1,11 +1,15 @@
 """Language, quality, toxicity, extraction and personal data."""
 
+import hashlib
+import math
 import random
 import re
 
 import duckdb
 import numpy as np
 import pytest
+import regex
+import xxhash
 import zstandard
 
 from asofra.llm import fm_index, html_extract, html_labelled, html_tree, language_id, pii, quality, toxicity
@@ -349,11 +353,116 @@ def test_query_against_sql(spark, name):
     assert sorted(map(repr, (tuple(r) for r in got.select(*columns).collect()))) == sorted(map(repr, want))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_query_returns_every_row(spark, name):
-    table = "pages" if "html" in name else "documents"
-    got = QUERIES[name](spark, SF).toPandas()
-    ids = spark.read.parquet(f"{SF}/{table}.parquet").toPandas().iloc[:, 0]
-    assert sorted(got.iloc[:, 0]) == sorted(ids)
-    if "score" in got and "held_out" in got and "predicted" not in got:
-        assert got.score.between(0, 1).all()
+def slow_pii(rows):
+    """Spans of each (doc_id, text), all four counts taken one by one."""
+    letters = regex.compile(r"\p{L}+")
+    near, mentions, spans = [], set(), {}
+    for k, (_, text) in enumerate(rows):
+        text = text or ""
+        valid = {(kind, a, b) for kind, a, b in brute_spans(text)}
+        spans[k] = {(pii.KINDS.index(kind), a, b) for kind, a, b in valid}
+        for kind, pattern in PATTERNS.items():
+            found = [m.span() for m in re.finditer(pattern, text)]
+            for i, (a, b) in enumerate(found):
+                if (kind, a, b) not in valid:
+                    continue
+                entity = (kind, text[a:b])
+                mentions.add((entity, text))
+                low = found[i - 1][1] if i else 0
+                high = found[i + 1][0] if i + 1 < len(found) else len(text)
+                for begin, end, cut_at in ((max(low, a - 64), a, a - 64 if a - low > 64 else None), (b, min(high, b + 64), b + 64 if high - b > 64 else None)):
+                    for m in letters.finditer(text[begin:end]):
+                        first, last = begin + m.start(), begin + m.end()
+                        whole = cut_at is None or not (first == cut_at if cut_at < a else last == cut_at)
+                        if last - first >= 3 and whole:
+                            near.append((k, entity, m.group().lower(), first, last, text))
+    texts = {t or "" for _, t in rows}
+    with_term, with_entity, joint = {}, {}, {}
+    for t in texts:
+        for w in set(letters.findall(t.lower())):
+            with_term[w] = with_term.get(w, 0) + 1
+    for entity, _ in mentions:
+        with_entity[entity] = with_entity.get(entity, 0) + 1
+    for entity, term, text in {(e, w, t) for _, e, w, _, _, t in near}:
+        joint[entity, term] = joint.get((entity, term), 0) + 1
+    for k, entity, term, first, last, _ in near:
+        n, c = joint[entity, term], with_entity[entity]
+        content = math.log2(len(texts) / c)
+        if n >= 3 and content > 0 and math.log2(n * len(texts) / (c * with_term[term])) >= 0.9 * content:
+            spans[k].add((4, first, last))
+    return [sorted(spans[k]) for k in range(len(rows))]
+
+
+def test_pii_query_against_a_slow_version(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in QUERIES["op8_pii"](spark, SF).collect()}
+    for (doc_id, _), spans in zip(rows, slow_pii(rows)):
+        named = [f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans]
+        base = [x for x, (k, _, _) in zip(named, spans) if k < 4]
+        r = got[doc_id]
+        assert r.spans == ",".join(named) and r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for k, _, _ in spans) for i in range(4)]
+
+
+def test_pii_terms_against_a_slow_version(spark):
+    rng = random.Random(6)
+    words = "agent zorblax wrote about the plain list of things äöü x1 to somebody".split()
+    texts = []
+    for k in range(120):
+        own = rng.choices(words[2:], k=rng.randint(1, 30))
+        if k % 4 == 0:
+            own.insert(rng.randint(0, len(own)), rng.choice(["zorblax spy@hq.org", "spy@hq.org zorblax to", "10.0.0.7 agent", "spy@hq.org x1"]))
+        texts.append(" ".join(own))
+    rows = list(enumerate([*texts, *texts[:30], None, ""]))
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = {r.doc_id: [(s.kind, s.first, s.end) for s in r.spans] for r in found}
+    want = slow_pii(rows)
+    assert any(s[0] == 4 for spans in want for s in spans)
+    assert all(got[k] == spans for k, spans in enumerate(want))
+
+
+def test_extraction_query_against_single_pages(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = QUERIES["op7_html_extraction"](spark, SF).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        text = html_extract.extract([pages[r.page_id].html or ""], html_extract.default_model())[0]
+        assert (r.text, r.n_chars, r.url) == (text, len(text), pages[r.page_id].url)
+
+
+def test_simhash_query_against_all_pairs(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    prints = []
+    for _, text in rows:
+        parts = [p for p in re.split(b"[\t-\r ]+", re.sub(b"[A-Z]", lambda m: m.group().lower(), (text or "").encode())) if p]
+        grams = [b" ".join(parts[k : k + 4]) for k in range(max(1, len(parts) - 3))] if parts else []
+        bits = np.zeros(64, int)
+        for g in grams:
+            bits += [xxhash.xxh64_intdigest(g, 42) >> b & 1 for b in range(64)]
+        prints.append(sum(1 << b for b in range(64) if 2 * bits[b] > len(grams)))
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i, x in enumerate(prints):
+            for j in range(i):
+                if label[i] != label[j] and (x ^ prints[j]).bit_count() <= 4:
+                    label = [min(label[i], label[j]) if v in (label[i], label[j]) else v for v in label]
+        break
+    least = {v: min(rows[k][0] for k in range(len(rows)) if label[k] == v) for v in set(label)}
+    want = sorted((d, f"{p:016x}", least[v]) for (d, _), p, v in zip(rows, prints, label))
+    assert sorted(map(tuple, QUERIES["op9_simhash_near_dedup"](spark, SF).select("doc_id", "fingerprint", "component_id").collect())) == want
+
+
+def test_bpe_query_against_the_library(spark):
+    import public_tokenizers
+    import tiktoken
+
+    from asofra.llm import byte_bpe
+
+    ranks = byte_bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    whole = tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: r for r in QUERIES["op10_byte_bpe"](spark, SF).collect()}
+    for doc_id, text in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        ids = whole.encode_ordinary(text or "")
+        r = got[doc_id]
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
