@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from ..functions.storage import dropped, new_path, scratch, written
 
-__all__ = ["arrow_batches", "ascii_lower", "dropped", "free_names", "join_groups", "new_path", "scratch", "table", "without_rows", "written"]
+__all__ = ["arrow_batches", "ascii_lower", "bitmap", "dropped", "free_names", "join_groups", "marked", "new_path", "scratch", "table", "without_rows", "written"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: A key counts as hot from this share of all rows on, so there are at most
 #: 1 / HOT_SHARE hot keys: that bounds what ``join_groups`` broadcasts.
 HOT_SHARE = 1 / 512
+#: Buckets of a bitmap: 64 in a row, so 2^18 rows at most.
+BUCKETS = 1 << 24
 SALTS = 64
 
 
@@ -34,16 +36,39 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def bitmap(keyed: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The buckets that hold a key of ``keyed``, 64 a row, for ``marked``."""
+    bits = F.bit_or(F.expr("shiftleft(1L, _b % 64)")).alias(f"{name}_bits")
+    rows = keyed.select(_bucket(keys).alias("_b")).groupBy(F.expr("_b div 64").cast("int").alias(f"{name}_row")).agg(bits)
+    return F.broadcast(rows)
+
+
+def marked(rows: DataFrame, keys: list[str], bits: DataFrame, name: str, known: Column | None = None) -> DataFrame:
+    """Add ``name``: whether the row's bucket is in the bitmap of that name,
+    false unless ``known``. A bucket may hold several keys."""
+    bucket = _bucket(keys) if known is None else F.when(known, _bucket(keys))
+    placed = rows.withColumn(f"{name}_b", bucket).withColumn(f"{name}_row", F.expr(f"cast({name}_b div 64 as int)"))
+    hit = F.coalesce(F.expr(f"getbit({name}_bits, {name}_b % 64) = 1"), F.lit(False))
+    return placed.join(bits, f"{name}_row", "left").withColumn(name, hit).drop(f"{name}_row", f"{name}_b", f"{name}_bits")
+
+
 def without_rows(docs: DataFrame, gone: DataFrame, keep: Callable[..., None]) -> DataFrame:
     """``docs`` without the rows of ``gone`` (doc_id, text_id), text_id being
-    xxhash64 of the text. Where ``gone``, which is written first, is small by
-    Spark's own measure it is broadcast and no text moves. ``keep`` is that of
-    the ``scratch`` block around."""
-    doc_id, text_id = free_names(docs, "_gone_id", "_gone_text")
+    xxhash64 of the text. A bitmap of ``gone`` lets most rows pass where they
+    are; only the others meet ``gone``. ``keep`` is that of the ``scratch``
+    block around."""
+    doc_id, text_id, mark = free_names(docs, "_gone_id", "_gone_text", "_gone_in")
     found = written(gone.select(F.col("doc_id").alias(doc_id), F.col("text_id").alias(text_id)).distinct(), "gone")
     keep(found)
-    match = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_id))
-    return docs.join(found, match, "left_anti")
+    hashed = docs.withColumn(text_id, F.xxhash64("text"))
+    split = marked(hashed, [text_id], bitmap(found, [text_id], mark), mark)
+    match = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == found[text_id])
+    rest = split.where(mark).select(*docs.columns).join(found, match, "left_anti")
+    return split.where(~F.col(mark)).select(*docs.columns).unionByName(rest)
 
 
 def arrow_batches(spark: SparkSession, rows: int = 1000, megabytes: int = 16) -> None:

@@ -3,39 +3,24 @@
 Three filters, each cheaper than the next: rows whose byte length nobody
 shares are unique; of the rest, rows whose (length, prefix hash) nobody shares
 are unique; only what survives both has its full content hashed and grouped.
-The first two filters reach the next scan as bitmaps of BUCKETS buckets, 64 a
-row, so their broadcast is bounded. A bucket may hold several keys: it then
+The first two filters reach the next scan as bitmaps of a fixed number of
+buckets, so their broadcast is bounded. A bucket may hold several keys: it then
 lets a unique row through, which the full hash settles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, join_groups, scratch, table, without_rows, written
+from .common import ascii_lower, bitmap, join_groups, marked, scratch, table, without_rows, written
 
-#: Buckets of a broadcast filter: 64 in a row, so 2^18 rows at most.
-BUCKETS = 1 << 24
 PREFIX_CHARS = 64
 
 
-def _bucket(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-
-
 def _shared(keyed: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The buckets that hold a key of two rows or more, as a bitmap."""
-    twice = keyed.groupBy(*keys).count().where("count > 1").select(_bucket(keys).alias("_b"))
-    bits = F.bit_or(F.expr("shiftleft(1L, _b % 64)")).alias(f"{name}_bits")
-    return F.broadcast(twice.groupBy(F.expr("_b div 64").cast("int").alias(f"{name}_row")).agg(bits))
-
-
-def _marked(rows: DataFrame, keys: list[str], shared: DataFrame, name: str, known: Column) -> DataFrame:
-    """Add ``name``: whether the row's bucket is shared, false unless ``known``."""
-    placed = rows.withColumn(f"{name}_b", F.when(known, _bucket(keys))).withColumn(f"{name}_row", F.expr(f"cast({name}_b div 64 as int)"))
-    hit = F.coalesce(F.expr(f"getbit({name}_bits, {name}_b % 64) = 1"), F.lit(False))
-    return placed.join(shared, f"{name}_row", "left").withColumn(name, hit).drop(f"{name}_row", f"{name}_b", f"{name}_bits")
+    """The bitmap of the keys of two rows or more."""
+    return bitmap(keyed.groupBy(*keys).count().where("count > 1"), keys, name)
 
 
 def refine(docs: DataFrame, digest_unique: bool = False) -> DataFrame:
@@ -59,12 +44,12 @@ def _refined(docs: DataFrame, digest_unique: bool = False) -> DataFrame:
     raw = docs.select("doc_id", F.xxhash64("text").alias("text_id"), F.coalesce("text", F.lit("")).alias("_text")).withColumn(
         "_len", F.octet_length("_text")
     )
-    same_length = _marked(raw, ["_len"], _shared(raw, ["_len"], "_in1"), "_in1", F.lit(True))
+    same_length = marked(raw, ["_len"], _shared(raw, ["_len"], "_in1"), "_in1", F.lit(True))
     prefixed = same_length.withColumn(
         "_prefix", F.when(F.col("_in1"), F.xxhash64(ascii_lower(F.substring("_text", 1, PREFIX_CHARS))))
     )
     keys = ["_len", "_prefix"]
-    same_prefix = _marked(prefixed, keys, _shared(prefixed.where("_in1"), keys, "_in2"), "_in2", F.col("_in1"))
+    same_prefix = marked(prefixed, keys, _shared(prefixed.where("_in1"), keys, "_in2"), "_in2", F.col("_in1"))
     full = F.sha2(F.encode(ascii_lower(F.col("_text")), "UTF-8"), 256)
     hashed = same_prefix.select(
         "doc_id", "text_id", F.col("_in2").alias("_survives"),

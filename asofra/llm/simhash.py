@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, join_groups, scratch, table, without_rows, written
+from .common import arrow_batches, bitmap, join_groups, marked, scratch, table, without_rows, written
 from .components import components
 
 WORDS = 4
@@ -434,6 +434,8 @@ def alike_links(docs: DataFrame, nodes: DataFrame, proposed: DataFrame) -> DataF
 
     members = written(nodes.join(components(proposed), "node").select("node", "root", "_text", "_n"), "simhash-members")
     texts = docs.select(F.xxhash64("text").alias("_text"), F.col("text").cast("binary"))
+    # a bitmap of the members keeps other texts where they are
+    texts = marked(texts, ["_text"], bitmap(members, ["_text"], "_in"), "_in").where("_in").drop("_in")
     found = join_groups(texts, members, ["_text"], "_n").select("node", "root", "text")
     arrow_batches(spark)
     sets = found.mapInArrow(run, "node long, root long, size long, grams binary").dropDuplicates(["node"])
