@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asofra.llm import byte_bpe, decontaminate, exact_dedup, quality, simhash
-from asofra.llm.common import table, written
+from asofra.llm.common import dropped, table, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +65,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's table is deleted once the next one is
+    written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        if before is not None:
+            dropped(spark, before)
+        before = docs
     return docs
