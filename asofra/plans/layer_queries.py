@@ -34,14 +34,14 @@ _quarters = f"""SELECT ticker, fiscal_year, fiscal_qtr AS quarter, min(filed) AS
 _eps = "SELECT ticker, period_end AS qend, filed, max(value) / 1e3 AS eps_ttm FROM {facts} WHERE concept = 'eps_diluted' GROUP BY 1, 2, 3"
 _shares = """SELECT ticker, filed, period_end, value FROM {facts} WHERE concept = 'shares_outstanding' AND value > 0 AND form <> '8-K'"""
 _after = "coalesce((SELECT product(s.ratio) FROM {{splits}} s WHERE s.ticker = {0} AND s.ex_date > {1}), 1)"
-_priced = {n: e for n, e in price_sensitive("b.stub_").items() if n not in ("pe_trailing", "peg")}
+PRICED = ["market_cap", "pe_trailing", "peg", "ev_ebitda", "z_score", "payout_yield"]
 
 
 def _daily_sql(quarters: bool) -> str:
     latest = "SELECT ticker, period_end, filed_date, 'FY' AS quarter, roe, CAST(NULL AS DOUBLE) AS q3m_revenue, " + ", ".join(f"stub_{s}" for s in STUBS) + " FROM fund"
     if quarters:
         latest += " UNION ALL SELECT ticker, period_end, filed_date, quarter, roe, q3m_revenue, " + ", ".join(f"stub_{s}" for s in STUBS) + " FROM quarters"
-    formulas = ", ".join(f"round({e}, 4) AS {n}" for n, e in price_sensitive("stub_").items() if n in ("market_cap", "pe_trailing", "peg", "ev_ebitda", "z_score", "payout_yield"))
+    formulas = ", ".join(f"{e} AS {n}" for n, e in price_sensitive("stub_").items() if n in PRICED)
     return f"""WITH fund AS ({_fund}), quarters AS ({_quarters}), eps AS ({_eps}),
     counts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, filed ORDER BY period_end DESC, value DESC) AS rn FROM ({_shares})) WHERE rn = 1),
     days AS (SELECT ticker, date, {_after.format('p.ticker', 'p.date')} AS f, close FROM {{prices}} p),
@@ -58,9 +58,9 @@ def _daily_sql(quarters: bool) -> str:
         stub_eps / (f / {_after.format('e.ticker', 'e.filed_date_q')}) AS stub_eps) FROM e),
     h AS (SELECT * FROM (SELECT g.* EXCLUDE (rn), x.eps_ttm / g.f AS eps_ttm, row_number() OVER (PARTITION BY g.ticker, g.date ORDER BY x.qend DESC, x.eps_ttm DESC) AS rn
       FROM g LEFT JOIN eps x ON x.ticker = g.ticker AND x.filed <= g.date) WHERE rn = 1)
-    SELECT ticker, date, round(price, 6) AS price, fiscal_year, filed_date, filed_date_q, round(roe, 6) AS roe, round(f_score, 6) AS f_score,
-      {"period_end AS period_end_q, quarter AS quarter_q, round(q3m_revenue, 4) AS q3m_revenue," if quarters else ""}
-      {formulas}, round(eps_ttm, 6) AS eps_ttm, round(CASE WHEN eps_ttm >= 0.01 THEN price / eps_ttm END, 4) AS pe_ttm FROM h"""
+    SELECT ticker, date, price, fiscal_year, filed_date, filed_date_q, roe, f_score,
+      {"period_end AS period_end_q, quarter AS quarter_q, q3m_revenue," if quarters else ""}
+      {formulas}, eps_ttm, CASE WHEN eps_ttm >= 0.01 THEN price / eps_ttm END AS pe_ttm FROM h"""
 
 
 def _daily(spark: SparkSession, sf_dir: str, quarters: bool) -> DataFrame:
@@ -69,9 +69,9 @@ def _daily(spark: SparkSession, sf_dir: str, quarters: bool) -> DataFrame:
         table(spark, sf_dir, "prices"), spark.sql(_fund, facts=facts), daily.pershare_layer(facts), cuts, ["roe", "f_score"],
         spark.sql(_eps, facts=facts), spark.sql(_quarters, facts=facts) if quarters else None,
     )
-    digits = {"price": 6, "roe": 6, "f_score": 6, "eps_ttm": 6} | dict.fromkeys(("market_cap", "pe_trailing", "peg", "ev_ebitda", "z_score", "payout_yield", "pe_ttm"), 4)
-    stamps = ["period_end_q", "quarter_q", F.round("q3m_revenue", 4).alias("q3m_revenue")] if quarters else []
-    return out.select("ticker", "date", "fiscal_year", "filed_date", "filed_date_q", *stamps, *(F.round(c, d).alias(c) for c, d in digits.items()))
+    stamps = ["period_end_q", "quarter_q", "q3m_revenue"] if quarters else []
+    # no sums: both engines get the same doubles, which rounding might part
+    return out.select("ticker", "date", "price", "fiscal_year", "filed_date", "filed_date_q", *stamps, "roe", "f_score", *PRICED, "eps_ttm", "pe_ttm")
 
 
 @query(_daily_sql(False), dates="date filed_date filed_date_q")
@@ -100,14 +100,14 @@ def price_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT ticker, date, round(close * 0.99e0 * f, 6) AS open, round(close * f, 6) AS close, round(1000 / f, 6) AS volume, round(close * f, 6) AS adjusted
+    f"""SELECT ticker, date, close * 0.99e0 * f AS open, close * f AS close, 1000 / f AS volume, close * f AS adjusted
     FROM (SELECT *, {_after.format('p.ticker', 'p.date')} AS f FROM {{prices}} p)""",
     dates="date",
 )
 def raw_to_adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = made(spark, sf_dir, "SELECT ticker, date, close * 0.99e0 AS open, close, 1000e0 AS volume FROM {prices}", "prices")
     out = market.to_split_adjusted(raw, table(spark, sf_dir, "splits"))
-    return out.select("ticker", "date", *(F.round(c, 6).alias(c) for c in ("open", "close", "volume", "adjusted")))
+    return out.select("ticker", "date", "open", "close", "volume", "adjusted")
 
 
 _vendor = "SELECT l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS date, max(round(1 + l_tax * 10 * l_linenumber, 3)) AS split_factor FROM {lineitem} GROUP BY 1, 2"
