@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import STUBS, TTM_QUARTERLY
-from ..functions.kernel import div, given, z0
+from ..functions.kernel import div, given, growth, guarded, z0
 from ..functions.storage import written
-from . import periods, snapshot, splits, vintages
-from .asof import nearest
+from . import quarter_kernel, snapshot, splits, vintages
 from .indicators import CONCEPTS, STUB_SOURCES, masked
 
 FLOWS = (
@@ -59,14 +58,16 @@ def quarter_layer(facts: DataFrame, split_table: DataFrame, companies: DataFrame
     indicators, the TTM indicators, the stubs and the quarter's own flows.
 
     Every quarter's filing day (or the as_of that ``targets`` names for a
-    ticker, fiscal_year and quarter) is a point of view; the vintages fan out over
-    these days once, and all flows are summed in one long series.
+    ticker, fiscal_year and quarter) is a point of view; ``quarter_kernel`` takes
+    all series of a bucket of tickers from the vintages' intervals at once.
     """
     keys = ["ticker", "as_of"]
     targets = quarter_filings(facts) if targets is None else targets
-    spans = vintages.view_intervals(vintages.without_deprecated(facts))
+    spans = written(vintages.view_intervals(vintages.without_deprecated(facts)), "quarter-spans")
     holds = (F.col("known_from") <= F.col("as_of")) & (F.col("known_to").isNull() | (F.col("as_of") < F.col("known_to")))
-    view = written(spans.join(targets.select(*keys).distinct(), "ticker").where(holds).drop("known_from", "known_to"), "quarter-view")
+    # a quarter's sheet reads that quarter's facts only, so they meet their own day and no other
+    labels = targets.select(*keys, "fiscal_year", F.col("quarter").alias("fiscal_qtr")).distinct()
+    view = written(spans.join(labels, ["ticker", "fiscal_year", "fiscal_qtr"]).where(holds), "quarter-view")
     sheet = written(vintages.pivot(view, CONCEPTS, keys).where(vintages.dense(CONCEPTS)), "quarter-sheet").withColumnRenamed("period_type", "quarter")
     flows = view.where(F.col("fiscal_qtr").isin("Q1", "Q2", "Q3"))
     ends = flows.groupBy(*keys, "fiscal_year", F.col("fiscal_qtr").alias("quarter")).agg(
@@ -74,25 +75,14 @@ def quarter_layer(facts: DataFrame, split_table: DataFrame, companies: DataFrame
     )
     ends = ends.select(*keys, "fiscal_year", "quarter", F.coalesce("_flow", "_any").alias("period_end"))
     own = written(targets.join(sheet, [*keys, "fiscal_year", "quarter"]).join(ends, [*keys, "fiscal_year", "quarter"]), "quarter-rows")
-    anchors = own.select(*keys, F.col("period_end").alias("anchor")).distinct()
-    by_flow = [*keys, "concept"]
-    series = periods.flow_quarters(view.where(F.col("concept").isin(*FLOWS)), None, by_flow)
-    asked = anchors.select("*", F.explode(F.array(*map(F.lit, FLOWS))).alias("concept"))
-    sums = periods.ttm(written(series, "quarter-flows"), asked, by_flow)
-    wide = sums.groupBy(*keys, "anchor").pivot("concept", FLOWS).agg(F.first("ttm").alias("ttm"), F.first("q3m").alias("q3m"))
-    named = wide.select(*keys, F.col("anchor").alias("period_end"), *(F.col(f"{c}_{k}").alias(f"{k}_{c}") for c in FLOWS for k in ("ttm", "q3m")))
-    eps = view.where("concept = 'eps_diluted'").join(splits.split_table(split_table), "ticker", "left")
-    eps = eps.withColumn("value", F.col("value") * splits.factor_after(F.col("splits"), F.col("filed"))).drop("splits")
-
-
-    on_day = nearest(anchors, periods.ttm_eps(eps, keys), keys, "anchor", "qend", periods.ANCHOR_TOLERANCE, ["eps_ttm"])
-    summed = periods.ttm(periods.flow_quarters(eps, "eps_diluted", keys), anchors, keys).select(*keys, "anchor", F.col("ttm").alias("_sum"))
-    ttm_eps = on_day.join(summed, [*keys, "anchor"], "left").select(*keys, F.col("anchor").alias("period_end"), F.coalesce("near_eps_ttm", "_sum").alias("_eps"))
-    ttm_eps, named = written(ttm_eps, "quarter-eps"), written(named, "quarter-ttm")
-    native = snapshot.quarter_features(view, split_table, keys, own.select(*keys).distinct().withColumns({
-        "anchor": F.lit(None).cast("date"), "c_period_end": F.lit(None).cast("date")}))
-    native = written(native, "quarter-native")
-    out = own.join(named, [*keys, "period_end"], "left").join(ttm_eps, [*keys, "period_end"], "left").join(native, keys, "left")
+    out = written(quarter_kernel.with_series(own, spans, split_table, FLOWS), "quarter-series")
+    # the deviations of a year's quarters need a fiscal year's end, which a quarter's row has not
+    out = out.withColumns({
+        "q_roaq": guarded(F.col("net"), F.col("net_at")), "q_revenue_surprise": F.col("revenue_surprise"), "q_earnings_surprise": F.col("eps_surprise"),
+        "q_revenue_growth_qoq": growth(F.col("rev"), F.col("rev_before")), "q_ch_tax": guarded(F.col("tax") - F.col("tax_before"), F.col("tax_at")),
+        "q_num_earn_increase": F.col("streak"), "q_fcf_stability": F.col("fcf_stability"),
+        "q_ms_roa_vol": F.lit(None).cast("double"), "q_ms_rev_vol": F.lit(None).cast("double"),
+    }).drop(*quarter_kernel.FEATURES)
     # derived quantities last, over a plain table: the optimiser would carry
     # every constraint of the joins through each layer of expressions
     out = snapshot.with_derived(written(splits.with_factor(out.join(companies, "ticker"), split_table, "as_of"), "quarter-whole"))

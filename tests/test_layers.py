@@ -149,3 +149,35 @@ def test_first_filing_stream_appends(spark, tmp_path):
     out = stream.writeStream.format("memory").queryName("firsts").outputMode("append").trigger(availableNow=True).start()
     out.awaitTermination()
     assert spark.table("firsts").count() == 2
+
+
+def test_quarter_layer_against_each_view(spark, monkeypatch):
+    """The series of the quarter layer are those of ``snapshot`` and
+    ``periods`` on each point of view, and no view is written out."""
+    from asofra.functions import storage
+    from asofra.operators import periods, quarter_kernel, quarterly, snapshot, splits, vintages
+    from asofra.plans.adapter import table
+
+    facts, cuts, companies = (table(spark, "/root/testdata/sf0.001", n) for n in ("facts", "splits", "companies"))
+    days = facts.where("fiscal_qtr IN ('Q1', 'Q2', 'Q3')").groupBy("ticker", "fiscal_year", F.col("fiscal_qtr").alias("quarter")).agg(F.max("filed").alias("as_of"))
+    made = []
+    for module in (quarterly, quarter_kernel):
+        if hasattr(module, "written"):
+            monkeypatch.setattr(module, "written", lambda df, name: made.append(storage.written(df, name)) or made[-1])
+    rows = {(r.ticker, r.filed_date, r.period_end): r for r in quarterly.quarter_layer(facts, cuts, companies, days).collect()}
+    assert rows and max(t.count() for t in made) <= facts.count()
+
+    keys = ["ticker", "as_of"]
+    own = spark.createDataFrame([k for k in rows], "ticker long, as_of date, anchor date")
+    spans = vintages.view_intervals(vintages.without_deprecated(facts)).join(own.select(*keys).distinct(), "ticker")
+    view = storage.written(spans.where("known_from <= as_of AND (known_to IS NULL OR as_of < known_to)").drop("known_from", "known_to"), "view")
+    wide = own.select(*keys, F.lit(None).cast("date").alias("anchor"), F.lit(None).cast("date").alias("c_period_end")).distinct()
+    native = {(r.ticker, r.as_of): r for r in snapshot.quarter_features(view, cuts, keys, wide).collect()}
+    sums = periods.ttm(periods.flow_quarters(view, "revenue", keys), own, keys)
+    sums = {(r.ticker, r.as_of, r.anchor): r for r in sums.collect()}
+    known = 0
+    for (ticker, as_of, anchor), r in rows.items():
+        want = {n: native[ticker, as_of][f"q_{n}"] for n in quarterly.NATIVE} | {"stub_revenue": sums[ticker, as_of, anchor].ttm, "q3m_revenue": sums[ticker, as_of, anchor].q3m}
+        known += sum(x is not None for x in want.values())
+        assert {n: r[n] for n in want} == {n: x if x is None else pytest.approx(x, rel=1e-9) for n, x in want.items()}
+    assert known > 100
