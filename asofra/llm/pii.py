@@ -36,7 +36,8 @@ PATTERNS = (
 NEEDS = ("@", None, None, "+")
 BYTE = "^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 
-#: Characters on each side of an entity that are its context.
+#: Characters on each side of an entity that are its context in ``find``; the
+#: query and ``sanitise`` take whole texts.
 CONTEXT = 64
 TERM = r"\p{L}+"
 SHORTEST_TERM = 3
@@ -44,11 +45,13 @@ SUPPORT = 3
 DISCLOSURE = 0.9
 #: A term in so many documents is generalised, a rarer one is removed.
 COMMON = 10
+SPANS = "array<struct<kind:int,first:int,end:int,value:string,common:boolean>>"
 
 
-def _finds(text: Column) -> Column:
+def _finds(text: Column, context: int | None) -> Column:
     """Of each kind with a match: kind, values, and the gaps around them as
-    length, first and last CONTEXT characters."""
+    length, first and last ``context`` characters (None: none are needed)."""
+    kept = context or 0
     kinds = []
     for k, (pattern, needs) in enumerate(zip(PATTERNS, NEEDS)):
         values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -57,7 +60,7 @@ def _finds(text: Column) -> Column:
         gaps = F.transform(
             F.when(F.size(values) > 0, F.split(text, pattern, -1)),
             lambda g: F.struct(
-                F.char_length(g).alias("n"), F.left(g, F.lit(CONTEXT)).alias("head"), F.right(g, F.lit(CONTEXT)).alias("tail")
+                F.char_length(g).alias("n"), F.left(g, F.lit(kept)).alias("head"), F.right(g, F.lit(kept)).alias("tail")
             ),
         )
         kinds.append(F.struct(F.lit(k).alias("kind"), values.alias("found"), gaps.alias("gaps")))
@@ -111,9 +114,9 @@ def _terms(context: Column, cut: Column, at_head: bool, offset: Column) -> Colum
     )
 
 
-def _mentions(rows: DataFrame) -> DataFrame:
-    """One valid base match a row: row, text_id, kind, value, first, end,
-    terms."""
+def _mentions(rows: DataFrame, context: int | None) -> DataFrame:
+    """One valid base match a row: row, text_id, kind, value, first, end, and,
+    with a ``context``, the terms in it."""
     each = rows.select("row", "text_id", F.inline("finds")).select(
         "row", "text_id", "kind",
         F.inline(
@@ -129,12 +132,34 @@ def _mentions(rows: DataFrame) -> DataFrame:
     placed = each.withColumn(
         "end", F.sum(F.col("before.n") + F.char_length("value")).over(so_far).cast("int")
     ).withColumn("first", F.col("end") - F.char_length("value"))
+    valid = placed.where(_valid(F.col("kind"), F.col("value")))
+    base = ["row", "text_id", "kind", "value", "first", "end"]
+    if context is None:
+        return valid.select(*base)
     tail, head = F.col("before.tail"), F.col("after.head")
-    left = _terms(tail, F.col("before.n") > CONTEXT, True, F.col("first") - F.char_length(tail))
-    right = _terms(head, F.col("after.n") > CONTEXT, False, F.col("end"))
-    return placed.where(_valid(F.col("kind"), F.col("value"))).select(
-        "row", "text_id", "kind", "value", "first", "end", F.concat(left, right).alias("terms")
-    )
+    left = _terms(tail, F.col("before.n") > context, True, F.col("first") - F.char_length(tail))
+    right = _terms(head, F.col("after.n") > context, False, F.col("end"))
+    return valid.select(*base, F.concat(left, right).alias("terms"))
+
+
+def _words(text: Column) -> Column:
+    """The different terms of a text."""
+    words = F.filter(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.char_length(w) >= SHORTEST_TERM)
+    return F.array_distinct(F.transform(words, lambda w: F.lower(w)))
+
+
+def _marked(texts: DataFrame) -> DataFrame:
+    """(row, kind, first, end, value, common) wherever in a text of ``texts``
+    (row, text, telling) a term of the map ``telling`` (term, common) stands."""
+    words, gaps = F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.split("text", TERM, -1)
+    each = texts.select("row", "telling", words.alias("words"), gaps.alias("gaps")).select(
+        "row", "telling", F.posexplode(F.zip_with("words", "gaps", lambda w, g: F.struct(w.alias("word"), F.char_length(g).alias("gap")))).alias("i", "x")
+    ).where("x.word IS NOT NULL")
+    term, size = F.lower("x.word"), F.char_length("x.word")
+    parts = each.select("row", "i", (F.col("x.gap") + size).alias("step"), size.alias("size"), term.alias("value"), F.element_at("telling", term).alias("common"))
+    so_far = Window.partitionBy("row").orderBy("i")
+    placed = parts.withColumn("end", F.sum("step").over(so_far).cast("int")).where("common IS NOT NULL")
+    return placed.select("row", F.lit(len(KINDS) - 1).alias("kind"), (F.col("end") - F.col("size")).alias("first"), "end", "value", "common")
 
 
 def _document_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -149,7 +174,24 @@ def _document_counts(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     return counted.join(candidates, "term")
 
 
-def find(docs: DataFrame, row: str | None = None) -> DataFrame:
+def _shared(mentions: DataFrame) -> DataFrame:
+    """(kind, value, texts, mentions) of the entities in SUPPORT texts or
+    more; no term has its evidence beside a rarer one."""
+    each = mentions.groupBy("kind", "value", "text_id").agg(F.count("*").alias("n"))
+    entities = each.groupBy("kind", "value").agg(F.count("*").alias("texts"), F.sum("n").alias("mentions"))
+    return entities.where(F.col("texts") >= SUPPORT)
+
+
+def _beside(texts: DataFrame, mentions: DataFrame, shared: DataFrame) -> DataFrame:
+    """(kind, value, text_id, term): the different terms of every whole text
+    with a shared entity, copies once."""
+    held = join_groups(mentions.select("row", "text_id", "kind", "value"), shared, ["kind", "value"], "mentions")
+    one = held.groupBy("kind", "value", "text_id").agg(F.min("row").alias("row"))
+    terms = texts.join(one.select("row").distinct(), "row").select("row", _words(F.col("text")).alias("terms"))
+    return one.join(terms, "row").select("kind", "value", "text_id", F.explode("terms").alias("term"))
+
+
+def find(docs: DataFrame, row: str | None = None, context: int | None = CONTEXT) -> DataFrame:
     """Spans of personal data in each row of ``docs`` (doc_id, text).
 
     Returns row (the column ``row``, or else a number), doc_id, and spans: an array of
@@ -160,23 +202,28 @@ def find(docs: DataFrame, row: str | None = None) -> DataFrame:
     A null text counts as empty and has no spans. Rows repeated under one
     doc_id, also null, are rows of their own; rows with one text count once
     as evidence. An empty table gives no rows. Other columns are ignored.
+
+    Terms are looked for, and marked, within ``context`` characters of an
+    entity; with None in the whole of each text that has the entity.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = written(
-        docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), "doc_id", text.alias("text")).select(
-            "row", "doc_id", F.xxhash64("text").alias("text_id"), _finds(F.col("text")).alias("finds")
-        ),
-        "pii-rows",
+    found = docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), "doc_id", text.alias("text")).select(
+        "row", "doc_id", F.xxhash64("text").alias("text_id"), _finds(F.col("text"), context).alias("finds"), "text"
     )
-    mentions = written(_mentions(rows.where(F.size("finds") > 0)), "pii-mentions")
-    near = mentions.select("row", "text_id", "kind", "value", F.inline("terms"))
-    entity = ["kind", "value"]
+    # whole texts are read again, but only those with a find
+    held = F.when(F.size("finds") > 0, F.col("text")) if context is None else F.lit(None).cast("string")
+    rows = written(found.withColumn("text", held), "pii-rows")
+    mentions = written(_mentions(rows.where(F.size("finds") > 0), context), "pii-mentions")
+    entity, entities = ["kind", "value"], written(_shared(mentions), "pii-entities")
+    if context is None:
+        near = _beside(rows.select("row", "text"), mentions, entities)
+    else:
+        near = mentions.select("row", "text_id", *entity, F.inline("terms"))
     pairs = (
         near.groupBy(*entity, "term", "text_id").agg(F.count("*").alias("n"))
         .groupBy(*entity, "term").agg(F.count("*").alias("joint"), F.sum("n").alias("n"))
         .where(F.col("joint") >= SUPPORT)
     )
-    entities = mentions.select(*entity, "text_id").distinct().groupBy(*entity).agg(F.count("*").alias("texts"))
     supported = written(pairs.join(entities, entity), "pii-pairs")
     documents = rows.select("text_id").distinct().count()
     known = _document_counts(docs.select(text.alias("text")), supported.select("term").distinct())
@@ -184,18 +231,24 @@ def find(docs: DataFrame, row: str | None = None) -> DataFrame:
     content = F.log2(F.lit(documents) / F.col("texts"))
     telling = written(
         supported.join(known, "term").where((content > 0) & (bits >= DISCLOSURE * content))
-        .select(*entity, "term", "n", (F.col("documents") >= COMMON).alias("common")),
+        .select(*entity, "term", "n", "mentions", (F.col("documents") >= COMMON).alias("common")),
         "pii-terms",
     )
-    terms = join_groups(near, telling, [*entity, "term"], "n").select(
-        "row", F.lit(len(KINDS) - 1).alias("kind"), "first", "end", F.col("term").alias("value"), "common"
-    )
+    if context is None:
+        told = join_groups(mentions.select("row", *entity).distinct(), telling.groupBy(*entity).agg(
+            F.collect_list(F.struct("term", "common")).alias("telling"), F.max("mentions").alias("mentions")), entity, "mentions")
+        asked = told.groupBy("row").agg(F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("telling")))).alias("telling"))
+        terms = _marked(rows.select("row", "text").join(asked, "row"))
+    else:
+        terms = join_groups(near, telling, [*entity, "term"], "n").select(
+            "row", F.lit(len(KINDS) - 1).alias("kind"), "first", "end", F.col("term").alias("value"), "common"
+        )
     base = mentions.select("row", "kind", "first", "end", "value", F.lit(None).cast("boolean").alias("common"))
     spans = (
         base.unionByName(terms.distinct()).groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct("kind", "first", "end", "value", "common"))).alias("spans"))
     )
-    none = F.array().cast("array<struct<kind:int,first:int,end:int,value:string,common:boolean>>")
+    none = F.array().cast(SPANS)
     return rows.select("row", "doc_id").join(spans, "row", "left").withColumn("spans", F.coalesce("spans", none))
 
 
@@ -224,13 +277,13 @@ def sanitise(docs: DataFrame) -> DataFrame:
     row and column stays, a null text stays null."""
     row, spans = free_names(docs, "_row", "_spans")
     keyed = written(docs.withColumn(row, F.monotonically_increasing_id()), "pii-keyed")
-    found = find(keyed, row).where(F.size("spans") > 0).select(F.col("row").alias(row), F.col("spans").alias(spans))
+    found = find(keyed, row, None).where(F.size("spans") > 0).select(F.col("row").alias(row), F.col("spans").alias(spans))
     clean = F.when(F.col(spans).isNull(), F.col("text")).otherwise(replaced(F.col("text"), F.col(spans)))
     return keyed.join(found, row, "left").select(*(clean.alias(c) if c == "text" else F.col(c) for c in docs.columns))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find(table(spark, sf_dir, "documents"))
+    found = find(table(spark, sf_dir, "documents"), context=None)
     base = F.filter("spans", lambda s: s["kind"] < len(KINDS) - 1)
 
     def written_out(spans: Column) -> Column:

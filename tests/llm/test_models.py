@@ -466,3 +466,28 @@ def test_bpe_query_against_the_library(spark):
         r = got[doc_id]
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_pii_terms_of_whole_texts(spark):
+    """A term far from its entity is found and marked wherever it stands."""
+    rng = random.Random(8)
+    fill = lambda n: " ".join(rng.choices("plain words about the list of many things äöü".split(), k=n))
+    texts = [f"Zorblax {fill(40)} 😀 {fill(30)} spy@hq.org {fill(60)} zorblax, {fill(k + 1)}" for k in range(4)]
+    texts += [texts[0], f"spy@hq.org {fill(9)}", *(fill(50) for _ in range(60)), None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    letters, different = regex.compile(r"\p{L}+"), {t or "" for t in texts}
+    words = {t: {w.lower() for w in letters.findall(t) if len(w) > 2} for t in different}
+    held = [t for t in different if "spy@hq.org" in t]
+    content, telling = math.log2(len(different) / len(held)), set()
+    for term in set().union(*words.values()):
+        joint, known = sum(term in words[t] for t in held), sum(term in words[t] for t in different)
+        if joint >= 3 and math.log2(joint * len(different) / (len(held) * known)) >= 0.9 * content:
+            telling.add(term)
+    assert "zorblax" in telling and "plain" not in telling
+    got = {r.doc_id: [(s.first, s.end) for s in r.spans if s.kind == 4] for r in pii.find(docs, context=None).collect()}
+    for k, t in enumerate(texts):
+        want = [m.span() for m in letters.finditer(t or "") if m.group().lower() in telling] if t in held else []
+        assert got[k] == want
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert all("zorblax" not in clean[k].lower() for k in range(5))
+    assert pii.find(docs.limit(0), context=None).count() == 0
